@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, pieces
+from . import media, mixing, pieces, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +21,16 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_decode(docs, pieces.model_path()).drop("text"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op4_sentencepiece)}
-ORACLE_SQL: dict[str, str] = {}
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(table(spark, sf_dir, "documents"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op4_sentencepiece, op9_secret_scans, op10_mixing)}
+ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE}
 
 
 def queries() -> dict[str, Query]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, pieces, secrets
+from . import html_extract, media, mixing, pieces, quality_rules, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,15 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_decode(docs, pieces.model_path()).drop("text"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.page_texts(table(spark, sf_dir, "pages"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
@@ -29,7 +38,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op4_sentencepiece, op9_secret_scans, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op4_sentencepiece, op6_quality_rules, op7_html_extraction, op9_secret_scans, op10_mixing)}
 ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE}
 
 

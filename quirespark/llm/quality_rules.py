@@ -4,8 +4,8 @@ Counts of a text give METRICS (shares and means). On labelled documents of good
 quality (the holdout) every cutoff of a fixed grid is a test of the hypothesis
 "this rule at this cutoff rejects more than ``alpha`` of the stratum's good
 documents". A cutoff is certified where the exact binomial probability of so few
-rejections is at most ``delta``, divided by the number of rules, cutoffs and
-directions (multiple testing), for each stratum: that is the exact
+rejections is at most ``delta``, divided by the number of rules times
+cutoffs (multiple testing), for each stratum: that is the exact
 Clopper-Pearson upper bound being at most ``alpha``. Each rule takes its
 strictest certified cutoff; a stratum with too few labels certifies none, and
 the rule is silent there. ``alpha`` is shared among the rules, so that the
@@ -121,7 +121,7 @@ GRID = {
 
 @dataclass(frozen=True)
 class Risk:
-    alpha: float = 0.02  # share of a stratum's good documents that may be rejected
+    alpha: float = 0.05  # share of a stratum's good documents that may be rejected
     delta: float = 0.05  # probability that this fails in any stratum's test family
 
 
@@ -148,7 +148,10 @@ def thresholds(counted: DataFrame, labels: DataFrame, stratum: str, risk: Risk =
     good = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("__q")).filter("__q = 1").select("__id")
     held = counted.filter(~base_failed()).join(good, F.col("doc_id") == F.col("__id")).select(F.col(stratum).alias("stratum"), *[c.alias(r) for r, c in metrics().items()])
     # for each rule, the number of cutoffs below the value: those reject the document
-    above = [F.struct(F.lit(r).alias("rule"), F.size(F.filter(F.array(*map(F.lit, GRID[r])), lambda c, r=r: c < F.col(r))).alias("above")) for r in GRID]
+    def below(rule: str) -> Column:
+        return F.size(F.filter(F.array(*map(F.lit, GRID[rule])), lambda c: c < F.col(rule)))
+
+    above = [F.struct(F.lit(r).alias("rule"), below(r).alias("above")) for r in GRID]
     histogram = held.select("stratum", F.explode(F.array(*above)).alias("x")).groupBy("stratum", "x.rule", "x.above").agg(F.count("*").alias("n"))
     tests = sum(map(len, GRID.values()))
     share, level = risk.alpha / len(GRID), risk.delta / tests

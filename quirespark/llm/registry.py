@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, media, mixing, pieces, quality_rules, secrets
+from . import html_extract, media, minhash, mixing, pieces, quality_rules, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_decode(docs, pieces.model_path()).drop("text"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.link(table(spark, sf_dir, "documents"), minhash.CONTRACT)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -38,8 +42,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op4_sentencepiece, op6_quality_rules, op7_html_extraction, op9_secret_scans, op10_mixing)}
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op4_sentencepiece, op5_minhash_near_dedup, op6_quality_rules, op7_html_extraction, op9_secret_scans, op10_mixing)}
+ORACLE_SQL: dict[str, str] = {"op5_minhash_near_dedup": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
 
 
 def queries() -> dict[str, Query]:

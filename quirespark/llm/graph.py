@@ -8,6 +8,8 @@ and labels stay on the cluster: the driver sees a count and a checksum.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,3 +55,49 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("node")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+
+
+def _several(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Members with their component so far, of the buckets that hold more than one."""
+    if found is None:
+        labelled = buckets.withColumn("label", F.col("id"))
+    else:
+        labelled = buckets.join(found, F.col("id") == F.col("node"), "left").withColumn("label", F.coalesce("component", "id")).drop("node", "component")
+    several = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
+    if found is not None:  # the first centre has compared the only pair
+        several = several.filter("n > 2")
+    return labelled.join(several.select(unplaced("key")), "key", "left_semi")
+
+
+def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame], centres: int = 3) -> DataFrame | None:
+    """(node, component) of the nodes linked within buckets; None if there are none.
+
+    ``members`` has (key, id), both long, each pair once; ``verify`` returns
+    those of the pairs (a, b) that are links. In every bucket all members are
+    compared with one centre and the linked ones contracted; buckets that still
+    hold several components get other centres, and what is left after
+    ``centres`` rounds is compared across components. So every two members of a
+    bucket end in one component if their link, or a chain of links, exists,
+    while a bucket of copies costs as many comparisons as it has members.
+    """
+    shared = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select(unplaced("key"))
+    buckets = checkpoint(members.join(shared, "key", "left_semi"))
+    edges = found = None
+    for turn in range(centres + 1):
+        several = buckets if found is None else checkpoint(_several(buckets, found))
+        if found is None:
+            several = several.withColumn("label", F.col("id"))
+        if several.isEmpty():
+            break
+        if turn < centres:
+            # the order of structs is that of their hash, which differs by turn
+            centre = several.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), "id", "label")).alias("c"))
+            pairs = several.join(centre.select(unplaced("key"), F.col("c.id").alias("other"), F.col("c.label").alias("l")), "key").filter("label <> l")
+        else:
+            others = several.select("key", F.col("id").alias("other"), F.col("label").alias("l"))
+            pairs = several.join(others, "key").filter("label < l")
+        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        new = verify(pairs)
+        edges = checkpoint(new if edges is None else edges.unionByName(new))
+        found = checkpoint(components(edges, "a", "b"))
+    return found

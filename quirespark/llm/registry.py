@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, media, minhash, mixing, pieces, quality_rules, secrets
+from . import html_extract, line_dedup, media, minhash, mixing, pieces, quality_rules, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.page_texts(table(spark, sf_dir, "pages"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
@@ -42,7 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op4_sentencepiece, op5_minhash_near_dedup, op6_quality_rules, op7_html_extraction, op9_secret_scans, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op4_sentencepiece, op5_minhash_near_dedup, op6_quality_rules, op7_html_extraction, op8_line_dedup, op9_secret_scans, op10_mixing)}
 ORACLE_SQL: dict[str, str] = {"op5_minhash_near_dedup": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, line_dedup, media, minhash, mixing, pieces, quality_rules, secrets
+from . import chat, html_extract, line_dedup, media, minhash, mixing, pieces, quality_rules, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_format(table(spark, sf_dir, "conversations"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.digests(pieces.encode_decode(docs, pieces.model_path()).drop("text"))
@@ -47,8 +51,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op4_sentencepiece, op5_minhash_near_dedup, op6_quality_rules, op7_html_extraction, op8_line_dedup, op9_secret_scans, op10_mixing)}
-ORACLE_SQL: dict[str, str] = {"op5_minhash_near_dedup": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op3_chat_formatting, op4_sentencepiece, op5_minhash_near_dedup, op6_quality_rules, op7_html_extraction, op8_line_dedup, op9_secret_scans, op10_mixing)}
+ORACLE_SQL: dict[str, str] = {"op3_chat_formatting": chat.ORACLE, "op5_minhash_near_dedup": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
 
 
 def queries() -> dict[str, Query]:

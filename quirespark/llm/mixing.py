@@ -122,6 +122,17 @@ def mix(docs: DataFrame, params: Mix = PRODUCTION) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def passes(docs: DataFrame, params: Mix = PRODUCTION) -> DataFrame:
+    """``docs`` as the mix takes them: a row for each pass begun, in the order of positions.
+
+    A document that the end of its source's demand falls into is taken whole.
+    Rows that share an id are taken alike: as often as the one taken most.
+    """
+    taken = mix(docs, params).filter("taken > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("__n"), F.min("position").alias("__at"))
+    out = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("__id"))).withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    return out.repartitionByRange("__at", "__id", "__pass").sortWithinPartitions("__at", "__id", "__pass").drop("__id", "__n", "__at", "__pass")
+
+
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, html_extract, line_dedup, media, minhash, mixing, pieces, quality_rules, secrets
+from . import chat, html_extract, line_dedup, media, minhash, mixing, pieces, quality_model, quality_rules, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_model.classify(docs).select("doc_id", "votes", "posterior", "score", "kept")
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(table(spark, sf_dir, "documents"))
 
@@ -51,7 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_media_columns, op3_chat_formatting, op4_sentencepiece, op5_minhash_near_dedup, op6_quality_rules, op7_html_extraction, op8_line_dedup, op9_secret_scans, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_classifier, op2_media_columns, op3_chat_formatting, op4_sentencepiece, op5_minhash_near_dedup, op6_quality_rules, op7_html_extraction, op8_line_dedup, op9_secret_scans, op10_mixing)}
 ORACLE_SQL: dict[str, str] = {"op3_chat_formatting": chat.ORACLE, "op5_minhash_near_dedup": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
 
 

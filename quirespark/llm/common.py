@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,19 +27,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
+
+    One of our own is made only where none is set, as in tests on one machine.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="quirespark-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it from there.
+    """Write ``df`` as a table in the shared folder and read it from there.
 
-    The folder is the session's ``spark.checkpoint.dir``; one of our own is
-    made only where none is set, as in tests on one machine.
+    Unlike ``DataFrame.checkpoint`` this also gives the planner the true size:
+    there the estimates of joins are multiplied from one checkpoint to the next,
+    and those of an iteration outgrow the driver. The table goes when the
+    program ends.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None)
-            or tempfile.mkdtemp(prefix="quirespark-checkpoint-")
-        )
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/quirespark-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended first
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for a context; workers import from it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quirespark_sent", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="quirespark-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    sc._quirespark_sent = True
 
 
 def unplaced(key: str) -> Column:
@@ -46,6 +84,27 @@ def unplaced(key: str) -> Column:
     return F.col(key).bitwiseXOR(F.lit(0).cast("long")).alias(key)
 
 
+#: Bits of a filter of ids, whatever their number.
+SLOTS = 1 << 23
+
+
+def prefilter(df: DataFrame, key: str, ids: DataFrame, id_: str = "id") -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be among ``ids``, before anything is moved.
+
+    A bit is set for the slot of each id. The bits fit into SLOTS / 64 rows of a
+    long each, 2 MB at most, and only those are broadcast; with very many ids
+    the filter lets everything pass, and an exact join has to follow in any case.
+    """
+
+    def slot(c: str) -> Column:
+        return F.xxhash64(F.lit(7), c).bitwiseAND(SLOTS - 1)
+
+    bits = ids.select(slot(id_).alias("__i")).groupBy(F.shiftright("__i", 6).alias("__k")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__i & 63 as int))")).alias("__m"))
+    hit = df.withColumn("__slot", slot(key)).withColumn("__row", F.shiftright("__slot", 6))
+    hit = hit.join(F.broadcast(bits), F.col("__row") == F.col("__k"))
+    return hit.filter("(shiftrightunsigned(__m, cast(__slot & 63 as int)) & 1L) = 1L").drop("__slot", "__row", "__k", "__m")
+
+
 def slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most SLICE_ROWS rows and about SLICE_BYTES bytes."""
     start = total = 0
@@ -70,6 +129,7 @@ def add_columns(
     (as Arrow arrays, of one slice) to the arrays of ``new_fields`` (name, type). A column of
     ``df`` with the name of a new one is replaced.
     """
+    ship(df.sparkSession)
     fields = [T.StructField(n, T._parse_datatype_string(kind), True) for n, kind in new_fields]
     new = {f.name.lower() for f in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, checkpoint
+from .common import add_columns, checkpoint, ship
 
 _WHITE = " \t\n\r\x0b\x0c"
 _SYMBOLS = "#*$%&|<>"
@@ -167,6 +167,7 @@ def thresholds(counted: DataFrame, labels: DataFrame, stratum: str, risk: Risk =
                 break
         return pd.DataFrame({"stratum": [key[0]], "rule": [key[1]], "cutoff": pd.array([cutoff], dtype="Float64"), "n_good": [n], "n_rejected": [rejected]})
 
+    ship(counted.sparkSession)
     # at most len(grid) + 1 rows for each key
     return histogram.groupBy("stratum", "rule").applyInPandas(choose, f"stratum {counted.schema[stratum].dataType.simpleString()}, rule string, cutoff double, n_good long, n_rejected long")
 

@@ -44,8 +44,7 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
+    return line_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

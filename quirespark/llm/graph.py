@@ -15,6 +15,13 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint, unplaced
 
+#: Edges that one task handles; more are dealt out.
+ONE_TASK = 100_000
+#: Centres of a bucket in the second round.
+CENTRES = 8
+#: Comparisons a member, on average, that buckets may take across components.
+FEW = 16
+
 
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").bitwiseAND(0xFFFFFFFF))).first()
@@ -30,14 +37,15 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     """(node, component) of every node that has an edge; component is the smallest id.
 
     ``a`` and ``b`` are long and not null. Loops and repeated edges do no harm;
-    an edge to itself alone gives no row.
+    an edge to itself alone gives no row. ``edges`` is read more than once.
     """
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    e = checkpoint(e)
+    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v")
     state = _state(e)
     for _ in range(max_rounds):
         if not state[0]:
             break
+        if state[0] <= ONE_TASK:  # exchanges would take longer than the work
+            e = e.coalesce(1)
         # large star: neighbours above a node go to the smallest around it
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = _smallest(both).withColumnRenamed("u", "w")
@@ -66,38 +74,48 @@ def _several(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
     several = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
     if found is not None:  # the first centre has compared the only pair
         several = several.filter("n > 2")
-    return labelled.join(several.select(unplaced("key")), "key", "left_semi")
+    return labelled.join(several.select(unplaced("key"), "n"), "key")
 
 
-def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame], centres: int = 3) -> DataFrame | None:
+def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """(node, component) of the nodes linked within buckets; None if there are none.
 
     ``members`` has (key, id), both long, each pair once; ``verify`` returns
     those of the pairs (a, b) that are links. In every bucket all members are
-    compared with one centre and the linked ones contracted; buckets that still
-    hold several components get other centres, and what is left after
-    ``centres`` rounds is compared across components. So every two members of a
-    bucket end in one component if their link, or a chain of links, exists,
-    while a bucket of copies costs as many comparisons as it has members.
+    compared with one centre and the linked ones contracted. In buckets that
+    still hold several components, members are compared with about CENTRES
+    others each, at random, which links nearly all that can be linked; what is
+    left is compared across components. So every two members of a bucket end in
+    one component if their link, or a chain of links, exists, while a bucket of
+    copies costs as many comparisons as it has members.
     """
     shared = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select(unplaced("key"))
     buckets = checkpoint(members.join(shared, "key", "left_semi"))
     edges = found = None
-    for turn in range(centres + 1):
-        several = buckets if found is None else checkpoint(_several(buckets, found))
+    for turn in range(3):
+        across = turn == 2
         if found is None:
-            several = several.withColumn("label", F.col("id"))
-        if several.isEmpty():
-            break
-        if turn < centres:
-            # the order of structs is that of their hash, which differs by turn
-            centre = several.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), "id", "label")).alias("c"))
-            pairs = several.join(centre.select(unplaced("key"), F.col("c.id").alias("other"), F.col("c.label").alias("l")), "key").filter("label <> l")
+            several = buckets.withColumn("label", F.col("id"))
+            # one order of ids for all buckets: copies meet the same centre in each
+            first = several.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("c"))
+            pairs = several.join(first.select(unplaced("key"), F.col("c.id").alias("other")), "key").filter("id <> other")
         else:
+            several = checkpoint(_several(buckets, found))
+            n = several.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.sum(F.col("n").cast("double") * F.col("n")).alias("squares")).first()
+            if not n["rows"]:
+                break
+            across = across or n["squares"] <= FEW * n["rows"]
             others = several.select("key", F.col("id").alias("other"), F.col("label").alias("l"))
-            pairs = several.join(others, "key").filter("label < l")
+            if across:
+                pairs = several.join(others, "key").filter("label < l")
+            else:
+                chosen = F.pmod(F.xxhash64("key", "id"), F.ceil(F.col("n") / CENTRES)) == 0
+                others = several.filter(chosen).select("key", F.col("id").alias("other"), F.col("label").alias("l"))
+                pairs = several.join(others, "key").filter("label <> l")
         pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         new = verify(pairs)
         edges = checkpoint(new if edges is None else edges.unionByName(new))
-        found = checkpoint(components(edges, "a", "b"))
+        found = components(edges, "a", "b")
+        if across:
+            break
     return found

@@ -6,12 +6,12 @@ Two cleaners exist side by side, as readers of old libraries depend on either:
 
 from __future__ import annotations
 
-import unicodedata
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Typographic characters and what they become.
 QUOTES = {
@@ -139,10 +139,15 @@ def llm_whitespace(s: Column) -> Column:
     return strip(F.regexp_replace(s, r"\n{3,}", "\n\n"))
 
 
-@F.pandas_udf("string")
-def nfkc(s: pd.Series) -> pd.Series:
+def nfkc(s: Column) -> Column:
     """Unicode compatibility composition; Catalyst has no such function."""
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+    def compose(x: pd.Series) -> pd.Series:
+        import unicodedata
+
+        return x.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
+
+    return F.pandas_udf(compose, T.StringType())(s)
 
 
 def clean_basic(s: Column, normalize: bool = True, page_numbers: bool = True) -> Column:
@@ -297,4 +302,4 @@ def sentences(s: Column) -> Column:
 def strip_frontmatter(s: Column) -> Column:
     """What follows a leading block between lines of three dashes."""
     parts = F.split(s, "---", 3)
-    return F.when(s.startswith("---") & (F.size(parts) == 3), F.trim(parts[2])).otherwise(s)
+    return F.when(s.startswith("---") & (F.size(parts) == 3), strip(parts[2])).otherwise(s)

@@ -189,7 +189,7 @@ def normalize_for_matching(s: Column) -> Column:
 
 
 def normalize_title(s: Column) -> Column:
-    return F.trim(F.lower(F.regexp_replace(s, r"(?i)^chapter\s+\d+\s*:?\s*", "")))
+    return F.trim(F.lower(F.regexp_replace(s, r"(?i)^chapter\s+\d+[:\s]*", "")))
 
 
 def is_title_case(s: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lines as ln
+from ..functions.text import word_count
+from ..operators import detection
 from ..sources.tables import read
 
 _NL = "chr(10)"
@@ -85,6 +87,25 @@ def win_anchor_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("book_id", "line_index", "title", F.length("content").alias("n_chars"), F.sha2("content", 256).alias("content_hash"))
 
 
+def _anchors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    b = books(spark, sf_dir)
+    c = ln.candidates(ln.lines(b))
+    return c, detection.select_anchors(c, b.select("book_id", word_count(F.col("text")).alias("words")))
+
+
+def select_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _anchors(spark, sf_dir)[1]
+
+
+def detect_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = detection.detect_chapters(books(spark, sf_dir), least=100)
+    return c.select("book_id", "chapter_number", "title", "word_count", "method", F.sha2("content", 256).alias("content_hash"))
+
+
+def detection_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detection.diagnostics(*_anchors(spark, sf_dir))
+
+
 _CODE = "(trim(line) <> '' AND (" + " OR ".join(f"regexp_matches(line, '{p}')" for p in ln.CODE_LINES) + " OR (length(trim(line)) >= 10 AND (len(regexp_extract_all(line, '\\b\\d+\\b')) >= 4 OR (length(line) - length(translate(line, '" + ln.CODE_CHARS.replace("'", "''") + "', '')))::DOUBLE / length(trim(line)) > 0.15::DOUBLE))))"
 _REGIONS = f"WITH c AS (SELECT book_id, line_index FROM {LINES} l WHERE {_CODE}), g AS (SELECT *, CASE WHEN line_index - lag(line_index) OVER (PARTITION BY book_id ORDER BY line_index) <= 2 THEN 0 ELSE 1 END AS new FROM c), r AS (SELECT *, sum(new) OVER (PARTITION BY book_id ORDER BY line_index) AS run FROM g), z AS (SELECT book_id, min(line_index)::INTEGER AS start_line, max(line_index)::INTEGER AS end_line FROM r GROUP BY book_id, run HAVING max(line_index) - min(line_index) + 1 >= 2)"
 _W = "list_filter(regexp_split_to_array({}, '\\s+'), lambda w: w <> '')"
@@ -102,6 +123,9 @@ _CANDIDATES = f"""{_REGIONS}, x AS ({_CONTEXT}), k AS (SELECT *, trim(line) AS s
 _TOC = "coalesce(" + ", ".join(f"CASE WHEN regexp_matches(trim(line), '{p}') THEN regexp_extract(trim(line), '{p}', 1) END" for p in ln.TOC_ENTRIES) + ")"
 
 CATALOG = {
+    "select_anchors": (select_anchors, ""),
+    "detect_chapters": (detect_chapters, ""),
+    "detection_diagnostics": (detection_diagnostics, ""),
     "is_code_line": (is_code_line, f"SELECT book_id, line_index::INTEGER AS line_index, {_CODE} AS is_code FROM {LINES} l"),
     "win_code_islands": (win_code_islands, f"{_REGIONS} SELECT * FROM z"),
     "join_code_interval": (join_code_interval, f"{_REGIONS} SELECT book_id, line_index::INTEGER AS line_index, EXISTS (SELECT 1 FROM z WHERE z.book_id = l.book_id AND l.line_index BETWEEN z.start_line AND z.end_line) AS in_code_block FROM {LINES} l"),

@@ -169,7 +169,7 @@ CATALOG = dict(
         _scalar("fn_escape_yaml", t.escape_yaml, "replace(replace(s, '\"', '\\\"'), chr(10), ' ')", _titles, TITLES),
         _scalar("fn_sanitize_filename", t.sanitize_filename, "substr(lower(regexp_replace(regexp_replace(regexp_replace(s, '[^\\p{L}\\p{N}_\\s\\-.]', '', 'g'), '\\s+', '-', 'g'), '-+', '-', 'g')), 1, 100)", _titles, TITLES),
         _scalar("fn_normalize_for_matching", t.normalize_for_matching, "trim(lower(regexp_replace(regexp_replace(s, '[-–—:]', ' ', 'g'), '\\s+', ' ', 'g')))", _titles, TITLES),
-        _scalar("fn_normalize_title", t.normalize_title, "trim(lower(regexp_replace(s, '(?i)^chapter\\s+\\d+\\s*:?\\s*', '')))", _titles, TITLES),
+        _scalar("fn_normalize_title", t.normalize_title, "trim(lower(regexp_replace(s, '(?i)^chapter\\s+\\d+[:\\s]*', '')))", _titles, TITLES),
         _scalar(
             "fn_is_title_case",
             t.is_title_case,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpoint, unplaced
@@ -77,20 +77,22 @@ def _several(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
     return labelled.join(several.select(unplaced("key"), "n"), "key")
 
 
-def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame], traits: DataFrame | None = None, close: Callable[[str, str], Column] | None = None) -> DataFrame | None:
     """(node, component) of the nodes linked within buckets; None if there are none.
 
-    ``members`` has (key, id), both long, each pair once; ``verify`` returns
+    ``members`` has (key, id), both long; ``verify`` returns
     those of the pairs (a, b) that are links. In every bucket all members are
     compared with one centre and the linked ones contracted. In buckets that
     still hold several components, members are compared with about CENTRES
     others each, at random, which links nearly all that can be linked; what is
     left is compared across components. So every two members of a bucket end in
     one component if their link, or a chain of links, exists, while a bucket of
-    copies costs as many comparisons as it has members.
+    copies costs as many comparisons as it has members. Of the pairs of the
+    later rounds only those are made that are ``close``: a condition on the
+    columns of ``traits`` (id, ...) of the two sides, given their prefixes.
     """
     shared = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select(unplaced("key"))
-    buckets = checkpoint(members.join(shared, "key", "left_semi"))
+    buckets = checkpoint(members.join(shared, "key", "left_semi").distinct())
     edges = found = None
     for turn in range(3):
         across = turn == 2
@@ -105,13 +107,13 @@ def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
             if not n["rows"]:
                 break
             across = across or n["squares"] <= FEW * n["rows"]
-            others = several.select("key", F.col("id").alias("other"), F.col("label").alias("l"))
-            if across:
-                pairs = several.join(others, "key").filter("label < l")
-            else:
-                chosen = F.pmod(F.xxhash64("key", "id"), F.ceil(F.col("n") / CENTRES)) == 0
-                others = several.filter(chosen).select("key", F.col("id").alias("other"), F.col("label").alias("l"))
-                pairs = several.join(others, "key").filter("label <> l")
+            if traits is not None:
+                several = checkpoint(several.join(traits, "id"))
+            chosen = F.lit(True) if across else F.pmod(F.xxhash64("key", "id"), F.ceil(F.col("n") / CENTRES)) == 0
+            others = several.filter(chosen).withColumnRenamed("id", "other")
+            apart = F.col("x.label") < F.col("y.label") if across else F.col("x.label") != F.col("y.label")
+            near = F.lit(True) if close is None else close("x", "y")
+            pairs = several.alias("x").join(others.alias("y"), (F.col("x.key") == F.col("y.key")) & apart & near)
         pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         new = verify(pairs)
         edges = checkpoint(new if edges is None else edges.unionByName(new))

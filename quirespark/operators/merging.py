@@ -98,3 +98,53 @@ def merge_plan(chapters: DataFrame, smallest: int = 3000) -> DataFrame:
 
     out = sizes_of(chapters).select("book_id", F.explode(F.aggregate("chapters", start, step)["plan"]).alias("p"))
     return out.select("book_id", F.col("p.n").alias("chapter_number"), F.col("p.into").alias("into_chapter"))
+
+
+def auto_merge(chapters: DataFrame, target: int = 8000, least: float = 0.2) -> DataFrame:
+    """Merge the best-scoring neighbours, one pair at a time, until a book's mean
+    reaches ``target`` words or no pair scores ``least``.
+
+    (book_id, chapter_number, first_chapter, last_chapter, title, word_count). The
+    scores change with every merge, so a book is worked through in one Python
+    group: a row for each chapter, without contents.
+    """
+    import pandas as pd
+
+    from ..functions.text import SUBSECTION
+
+    small, low, high, most = SMALL, TARGET_LOW, TARGET_HIGH, TOO_LARGE
+    schema = chapters.select("book_id").schema
+    schema = schema.add("chapter_number", "integer").add("first_chapter", "integer").add("last_chapter", "integer").add("title", "string").add("word_count", "long")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        import re
+
+        subsection = re.compile(SUBSECTION)
+        pdf = pdf.sort_values("chapter_number")
+        book = pdf["book_id"].iloc[0]
+        all_ = [[int(n), int(n), t or "", int(w)] for n, t, w in zip(pdf["chapter_number"], pdf["title"], pdf["word_count"], strict=True)]
+
+        def number(title: str) -> int:
+            m = re.match(r"(?i)chapter\s+(\d+)|(\d+)\.\s+|(\d+)\s+[A-Z]", title)
+            return int(next(g for g in m.groups() if g)) if m else 0
+
+        def score(a: list, b: list) -> float:
+            both = a[3] + b[3]
+            if both > most:
+                return 0.0
+            x, y = number(a[2]), number(b[2])
+            s = 0.3 * (a[3] < small) + 0.3 * (b[3] < small) + 0.25 * bool(subsection.match(b[2].strip())) + 0.2 * bool(x and y and y != x + 1) + 0.1 * (low <= both <= high)
+            return min(1.0, s)
+
+        while len(all_) > 1 and sum(c[3] for c in all_) / len(all_) < target:
+            scores = [score(a, b) for a, b in zip(all_, all_[1:])]
+            i = max(range(len(scores)), key=lambda k: (round(scores[k], 9), -k))
+            if scores[i] < least:
+                break
+            a, b = all_[i], all_[i + 1]
+            title = a[2] if number(a[2]) or not subsection.match(a[2].strip()) else f"{a[2]} + {b[2]}"
+            all_[i : i + 2] = [[a[0], b[1], title, a[3] + b[3]]]
+        rows = [(book, k + 1, *c) for k, c in enumerate(all_)]
+        return pd.DataFrame(rows, columns=["book_id", "chapter_number", "first_chapter", "last_chapter", "title", "word_count"])
+
+    return chapters.select("book_id", "chapter_number", "title", "word_count").groupBy("book_id").applyInPandas(run, schema)

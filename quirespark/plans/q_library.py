@@ -118,6 +118,10 @@ def merge_plan_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merging.merge_plan(order_chapters(spark, sf_dir), 3000)
 
 
+def auto_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merging.auto_merge(document_chapters(spark, sf_dir))
+
+
 def join_books_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("book_id"), F.col("c_name").alias("title"))
     o = order_chapters(spark, sf_dir).filter("o_orderpriority = '1-URGENT'")
@@ -250,6 +254,7 @@ CATALOG = {
         merge_plan_analysis,
         f"WITH RECURSIVE c AS (SELECT book_id, chapter_number::INTEGER AS n, word_count AS w FROM {ORDERS} c), f AS (SELECT book_id, n, false AS gone, w < 3000 AS takes FROM c WHERE n = 1 UNION ALL SELECT c.book_id, c.n, f.takes OR (c.w < 3000 AND NOT f.gone), c.w < 3000 AND NOT (f.takes OR (c.w < 3000 AND NOT f.gone)) FROM f JOIN c ON c.book_id = f.book_id AND c.n = f.n + 1) SELECT book_id, n AS chapter_number, n - 1 AS into_chapter FROM f WHERE gone",
     ),
+    "auto_merge": (auto_merge, ""),
     "join_books_chapters": (join_books_chapters, f"SELECT c_custkey AS book_id, c_name AS title, count(word_count) AS chapters, coalesce(sum(word_count), 0)::BIGINT AS words, round(coalesce(avg(word_count), 0), 6) AS avg_words FROM customer LEFT JOIN (SELECT * FROM {ORDERS} c WHERE o_orderpriority = '1-URGENT') o ON o.book_id = c_custkey GROUP BY 1, 2 HAVING count(word_count) > 0"),
     "mig_backfill_word_counts": (mig_backfill_word_counts, f"WITH o AS (SELECT * FROM {ORDERS} c WHERE o_orderpriority = '2-HIGH'), b AS (SELECT c_custkey AS book_id, CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE c_custkey END AS w FROM customer) SELECT book_id, CASE WHEN w = 0 AND EXISTS (SELECT 1 FROM o WHERE o.book_id = b.book_id) THEN (SELECT sum(word_count) FROM o WHERE o.book_id = b.book_id) ELSE w END::BIGINT AS word_count FROM b"),
     "join_files_processed": (join_files_processed, "SELECT doc_id || '.epub' AS name, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'skipped' ELSE 'todo' END AS state FROM documents"),

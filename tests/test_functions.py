@@ -109,3 +109,11 @@ def test_scores_of_candidates(spark):
     df = spark.createDataFrame([(4, False, True, True, 0), (1, True, False, False, 3)], "k int, code boolean, blank boolean, prose boolean, n int")
     got = [r[0] for r in df.select(ln.score(*[F.col(c) for c in df.columns])).collect()]
     assert got == [0.9, 0.0]
+
+
+def test_auto_merge(spark):
+    c = _chapters(spark, [500, 600, 4000, 400, 30000], ["Chapter 1: Intro", "Section 2", "Chapter 3: Main", "Summary", "Chapter 4: Long"])
+    got = merging.auto_merge(c, 8000).orderBy("chapter_number").collect()
+    assert [(r.first_chapter, r.last_chapter, r.word_count) for r in got] == [(1, 2, 1100), (3, 3, 4000), (4, 4, 400), (5, 5, 30000)]
+    got = merging.auto_merge(c, 20000).orderBy("chapter_number").collect()
+    assert [(r.first_chapter, r.last_chapter, r.word_count, r.title) for r in got] == [(1, 4, 5500, "Chapter 1: Intro"), (5, 5, 30000, "Chapter 4: Long")]

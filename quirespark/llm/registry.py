@@ -44,7 +44,7 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"), short=True)
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

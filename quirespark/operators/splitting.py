@@ -1,4 +1,4 @@
-"""Splitting of chapters: fixed slices, greedy packs, sections and recursion."""
+"""Splitting of chapters: fixed slices, greedy packs and recursion."""
 
 from __future__ import annotations
 

@@ -30,10 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    One of our own is made only where none is set, as in tests on one machine.
+    One of our own is made only where none is set and all of Spark runs on one
+    machine, as in tests; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="quirespark-checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -51,7 +54,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/quirespark-{uuid.uuid4().hex}"
     atexit.register(_delete, spark, path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quirespark_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``checkpoint`` that nothing reads any more; other DataFrames are left alone."""
+    for df in tables:
+        if path := getattr(df, "_quirespark_path", None):
+            _delete(df.sparkSession, path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

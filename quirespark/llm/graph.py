@@ -13,14 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, unplaced
+from .common import checkpoint, prefilter, release, unplaced
 
 #: Edges that one task handles; more are dealt out.
 ONE_TASK = 100_000
 #: Centres of a bucket in the second round.
 CENTRES = 8
-#: Comparisons a member, on average, that buckets may take across components.
-FEW = 16
+#: Members of a bucket that are compared with all others of it.
+SMALL = 1000
+#: Times that a larger bucket is divided by further keys.
+LEVELS = 3
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -54,7 +56,8 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
         m = _smallest(large).withColumnRenamed("u", "w")
         joined = large.join(m, F.col("u") == F.col("w"))
         small = joined.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
-        e = checkpoint(small.select("x.u", "x.v").filter("u <> v").distinct())
+        past, e = e, checkpoint(small.select("x.u", "x.v").filter("u <> v").distinct())
+        release(past)
         now = _state(e)
         if now == state:
             break
@@ -65,59 +68,86 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
 
 
-def _several(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Members with their component so far, of the buckets that hold more than one."""
-    if found is None:
-        labelled = buckets.withColumn("label", F.col("id"))
-    else:
-        labelled = buckets.join(found, F.col("id") == F.col("node"), "left").withColumn("label", F.coalesce("component", "id")).drop("node", "component")
-    several = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
-    if found is not None:  # the first centre has compared the only pair
-        several = several.filter("n > 2")
-    return labelled.join(several.select(unplaced("key"), "n"), "key")
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """Distinct (key, id) of the keys that more than one id has, as a table.
+
+    Keys are counted with map-side combining, so that a hot key moves a row for
+    each task; most members of other keys are dropped where they are read.
+    """
+    keys = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("key")
+    keys = checkpoint(keys)
+    some = prefilter(members, "key", keys, "key").select("key", "id").distinct()
+    out = checkpoint(some.join(keys.select(unplaced("key")), "key"))
+    release(keys)
+    return out
+
 
+def _several(buckets: DataFrame) -> DataFrame:
+    """Members (key, id, label, ...) of the buckets of several labels, with ``members``, the number of those of the bucket."""
+    keys = buckets.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members")).filter("lo <> hi")
+    return buckets.join(keys.select(unplaced("key"), "members"), "key")
 
-def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame], traits: DataFrame | None = None, close: Callable[[str, str], Column] | None = None) -> DataFrame | None:
+
+def _across(x: DataFrame, y: DataFrame, order: Column, close: Callable[[str, str], Column]) -> DataFrame:
+    """Pairs (a, b) within buckets that are ``close``; all others are never made."""
+    pairs = x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & order & close("x", "y"))
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def bucket_components(
+    buckets: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    traits: Callable[[DataFrame], DataFrame],
+    close: Callable[[str, str], Column],
+    further: Callable[[int], Column],
+) -> DataFrame | None:
     """(node, component) of the nodes linked within buckets; None if there are none.
 
-    ``members`` has (key, id), both long; ``verify`` returns
-    those of the pairs (a, b) that are links. In every bucket all members are
-    compared with one centre and the linked ones contracted. In buckets that
-    still hold several components, members are compared with about CENTRES
-    others each, at random, which links nearly all that can be linked; what is
-    left is compared across components. So every two members of a bucket end in
-    one component if their link, or a chain of links, exists, while a bucket of
-    copies costs as many comparisons as it has members. Of the pairs of the
-    later rounds only those are made that are ``close``: a condition on the
-    columns of ``traits`` (id, ...) of the two sides, given their prefixes.
+    ``buckets`` are those of ``shared_buckets``; ``verify`` returns those of the
+    pairs (a, b) that are links. First every member is compared with one centre
+    of each of its buckets, another in each bucket, and what is linked is
+    contracted. In buckets that still hold several components, members are
+    compared with CENTRES others or so, at random, and contracted once more,
+    which leaves those that are linked with few or none. These are compared across
+    components: with all in a bucket of up to SMALL members; larger buckets are
+    divided by ``further(level)``, arrays of keys that linked members are likely
+    to share one of, again and again (LEVELS times at most). So comparisons grow with the
+    members of a bucket, not with their square, and no pair is made that isn't
+    ``close``, a condition on the columns of ``traits`` (a function of (id) that
+    returns (id, ...)) of both sides.
     """
-    shared = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select(unplaced("key"))
-    buckets = checkpoint(members.join(shared, "key", "left_semi").distinct())
-    edges = found = None
-    for turn in range(3):
-        across = turn == 2
+    centre = buckets.groupBy("key").agg(F.min(F.struct(F.col("id").bitwiseXOR(F.col("key")).alias("x"), "id")).alias("c"))
+    first = buckets.join(centre.select(unplaced("key"), F.col("c.id").alias("other")), "key").filter("id <> other")
+    edges = checkpoint(verify(first.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()))
+
+    def left(found: DataFrame | None) -> DataFrame:
         if found is None:
-            several = buckets.withColumn("label", F.col("id"))
-            # one order of ids for all buckets: copies meet the same centre in each
-            first = several.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("c"))
-            pairs = several.join(first.select(unplaced("key"), F.col("c.id").alias("other")), "key").filter("id <> other")
-        else:
-            several = checkpoint(_several(buckets, found))
-            n = several.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.sum(F.col("n").cast("double") * F.col("n")).alias("squares")).first()
-            if not n["rows"]:
-                break
-            across = across or n["squares"] <= FEW * n["rows"]
-            if traits is not None:
-                several = checkpoint(several.join(traits, "id"))
-            chosen = F.lit(True) if across else F.pmod(F.xxhash64("key", "id"), F.ceil(F.col("n") / CENTRES)) == 0
-            others = several.filter(chosen).withColumnRenamed("id", "other")
-            apart = F.col("x.label") < F.col("y.label") if across else F.col("x.label") != F.col("y.label")
-            near = F.lit(True) if close is None else close("x", "y")
-            pairs = several.alias("x").join(others.alias("y"), (F.col("x.key") == F.col("y.key")) & apart & near)
-        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        new = verify(pairs)
-        edges = checkpoint(new if edges is None else edges.unionByName(new))
-        found = components(edges, "a", "b")
-        if across:
+            return checkpoint(_several(buckets.withColumn("label", F.col("id"))).filter("members > 2"))
+        labelled = buckets.join(found.select(unplaced("node"), "component"), F.col("id") == F.col("node"), "left")
+        # of two members the first centre has compared the only pair
+        return checkpoint(_several(labelled.select("key", "id", F.coalesce("component", "id").alias("label"))).filter("members > 2"))
+
+    rest = left(components(edges, "a", "b"))
+    if rest.isEmpty():
+        return components(edges, "a", "b") if not edges.isEmpty() else None
+    ids = checkpoint(rest.select("id").distinct())
+    known = checkpoint(traits(ids))
+
+    several = rest.join(known, "id")
+    others = several.filter(F.pmod(F.xxhash64("key", "id"), F.ceil(F.col("members") / CENTRES)) == 0)
+    new = verify(checkpoint(_across(several, others, F.col("x.label") != F.col("y.label"), close)))
+    past, edges = edges, checkpoint(edges.unionByName(new))
+    release(past, rest)
+
+    rest, pairs = left(components(edges, "a", "b")), None
+    for level in range(LEVELS + 1):
+        several = rest.join(known, "id")
+        here = several if level == LEVELS else several.filter(F.col("members") <= SMALL)
+        made = _across(here, here, F.col("x.label") < F.col("y.label"), close)
+        pairs = made if pairs is None else pairs.unionByName(made)
+        if level == LEVELS or rest.filter(F.col("members") > SMALL).isEmpty():
             break
-    return found
+        split = several.filter(F.col("members") > SMALL).select("id", "label", F.posexplode(further(level)).alias("i", "more"), F.col("key").alias("old"))
+        rest = checkpoint(_several(split.select(F.xxhash64("old", "i", "more").alias("key"), "id", "label")))
+    edges = checkpoint(edges.unionByName(verify(checkpoint(pairs.distinct()))))
+    return components(edges, "a", "b") if not edges.isEmpty() else None

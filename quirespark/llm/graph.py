@@ -20,7 +20,7 @@ ONE_TASK = 100_000
 #: Centres of a bucket in the second round.
 CENTRES = 8
 #: Members of a bucket that are compared with all others of it.
-SMALL = 1000
+SMALL = 256
 #: Times that a larger bucket is divided by further keys.
 LEVELS = 3
 

@@ -15,8 +15,9 @@ source is its target to the word, and no document gives more than
 
 Curriculum: over training time 0..1 a source's weight is its target times a
 piecewise linear schedule. Its integral is the source's cumulated demand, and
-inverting that at the middle of a document's words gives the time at which the
-document is trained on. Documents are range-sorted by that position.
+inverting that at the middle of the words that a document gives in a pass gives
+the time at which the document is trained on in that pass; each pass has a
+position of its own. Documents are range-sorted by the first.
 
 Defined results: a null text has size 0; documents of size 0 and those beyond
 the target take 0 and have no position (they come last); null is a source of
@@ -104,7 +105,11 @@ def position(share: Column, rank: Column, mix: Mix) -> Column:
 
 
 def mix(docs: DataFrame, params: Mix = PRODUCTION) -> DataFrame:
-    """doc_id, size, source_size, target, taken, position of every document, by position."""
+    """doc_id, size, source_size, target, taken, position, positions of every document.
+
+    ``positions`` has one for each pass that takes words of the document,
+    ``position`` is the first of them, by which the rows are sorted.
+    """
     sized = checkpoint(sizes(docs.select("doc_id", "source", "text")).drop("text"))
     of_source = targets(sized, params)
     joined = sized.join(of_source.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s", "source", "weight")
@@ -114,12 +119,17 @@ def mix(docs: DataFrame, params: Mix = PRODUCTION) -> DataFrame:
     whole = F.floor("target")
     gives = [F.greatest(F.lit(0), F.least(F.col("size"), whole - F.col("start") - F.col("source_size") * p)) for p in range(params.max_passes)]
     taken = sum(gives[1:], gives[0])
-    out = laid.withColumn("taken", taken.cast("long")).withColumn("__first", gives[0].cast("double"))
-    share = (F.col("start") + F.col("__first") / F.lit(2.0)) / F.floor("target")
-    out = out.withColumn("position", F.when(F.col("taken") > 0, position(share, F.col("rank"), params)))
+    out = laid.withColumn("taken", taken.cast("long"))
+
+    def at(p: int) -> Column:
+        share = (F.col("start") + F.col("source_size") * p + gives[p].cast("double") / F.lit(2.0)) / whole
+        return F.when(gives[p] > 0, position(share, F.col("rank"), params))
+
+    out = out.withColumn("positions", F.array_compact(F.array(*[at(p) for p in range(params.max_passes)])))
+    out = out.withColumn("position", F.get("positions", F.lit(0)))
     by = [F.col("position").asc_nulls_last(), F.col("key"), F.col("doc_id")]
     out = out.repartitionByRange(*by).sortWithinPartitions(*by)
-    return out.select("doc_id", "size", "source_size", "target", "taken", "position")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "position", "positions")
 
 
 def passes(docs: DataFrame, params: Mix = PRODUCTION) -> DataFrame:
@@ -128,9 +138,10 @@ def passes(docs: DataFrame, params: Mix = PRODUCTION) -> DataFrame:
     A document that the end of its source's demand falls into is taken whole.
     Rows that share an id are taken alike: as often as the one taken most.
     """
-    taken = mix(docs, params).filter("taken > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("__n"), F.min("position").alias("__at"))
-    out = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("__id"))).withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    return out.repartitionByRange("__at", "__id", "__pass").sortWithinPartitions("__at", "__id", "__pass").drop("__id", "__n", "__at", "__pass")
+    most = F.max(F.struct(F.size("positions").alias("n"), "positions"))
+    taken = mix(docs, params).filter("taken > 0").groupBy(F.col("doc_id").alias("__id")).agg(most["positions"].alias("__positions"))
+    out = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("__id"))).withColumn("__at", F.explode("__positions"))
+    return out.repartitionByRange("__at", "__id").sortWithinPartitions("__at", "__id").drop("__id", "__positions", "__at")
 
 
 ORACLE = r"""
@@ -153,16 +164,20 @@ WITH sized AS (
 ), g AS (
   SELECT *, greatest(0, least(size, whole - start)) AS first, greatest(0, least(size, whole - start - source_size)) AS second FROM d
 ), p AS (
-  SELECT *, (start + first::DOUBLE / 2.0) / whole::DOUBLE AS share FROM g
-)
-SELECT doc_id, size, source_size, target, (first + second)::BIGINT AS taken,
-  CASE WHEN first + second > 0 THEN CASE rank % 3
+  SELECT *, (start + first::DOUBLE / 2.0) / whole::DOUBLE AS share1, (start + source_size + second::DOUBLE / 2.0) / whole::DOUBLE AS share2 FROM g
+), u AS (
+  SELECT *, unnest([1, 2]) AS pass, unnest([share1, share2]) AS share, unnest([first, second]) AS given FROM p
+), c AS (
+  SELECT *, CASE WHEN given > 0 THEN CASE rank % 3
     WHEN 0 THEN CASE WHEN share <= 0.625 THEN 2.0 * share / (1.5 + sqrt(greatest(0.0, 2.25 - 2.0 * share)))
                      ELSE 0.5 + 2.0 * (share - 0.625) / (1.0 + sqrt(greatest(0.0, 1.0 - 2.0 * (share - 0.625)))) END
     WHEN 1 THEN CASE WHEN share <= 0.375 THEN 2.0 * share / (0.5 + sqrt(greatest(0.0, 0.25 + 2.0 * share)))
                      ELSE 0.5 + 2.0 * (share - 0.375) / (1.0 + sqrt(greatest(0.0, 1.0 + 2.0 * (share - 0.375)))) END
     ELSE CASE WHEN share <= 0.5 THEN 2.0 * share / (0.75 + sqrt(greatest(0.0, 0.5625 + 2.0 * share)))
                      ELSE 0.5 + 2.0 * (share - 0.5) / (1.25 + sqrt(greatest(0.0, 1.5625 - 2.0 * (share - 0.5)))) END
-  END END AS position
-FROM p
+  END END AS position FROM u
+)
+SELECT x.doc_id, x.size, x.source_size, x.target, (x.first + x.second)::BIGINT AS taken,
+  coalesce(x.position, y.position) AS position, CASE WHEN x.position IS NOT NULL THEN y.position END AS position_2
+FROM (SELECT * FROM c WHERE pass = 1) x JOIN (SELECT * FROM c WHERE pass = 2) y ON x.doc_id IS NOT DISTINCT FROM y.doc_id AND x.rank = y.rank AND x.start = y.start AND x.size = y.size
 """

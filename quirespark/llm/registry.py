@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import chat, html_extract, line_dedup, media, minhash, mixing, pieces, quality_model, quality_rules, secrets
 from .common import table
@@ -52,7 +53,8 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.withColumn("position_2", F.get("positions", F.lit(1))).drop("positions")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_classifier, op2_media_columns, op3_chat_formatting, op4_sentencepiece, op5_minhash_near_dedup, op6_quality_rules, op7_html_extraction, op8_line_dedup, op9_secret_scans, op10_mixing)}

@@ -208,6 +208,40 @@ def test_mixing_targets_and_positions(spark):
     assert sorted(map(repr, again)) == sorted(map(repr, got))
 
 
+def test_mixing_follows_the_schedules(spark):
+    """Of every source, each tenth of training takes what the integral of its schedule says."""
+    rows = [(i, "w " * (5 + i % 7), ("a", "b", "c", "d")[min(3, i * i % 17 // 3)]) for i in range(4000)]
+    params = mixing.PRODUCTION
+    got = mixing.mix(docs(spark, rows).withColumn("size", F.lit("clash")).withColumn("rank", F.lit(1)), params).collect()
+    of = {i: s for i, _, s in rows}
+    for k, source in enumerate("abcd"):
+        own = [r for r in got if of[r.doc_id] == source]
+        whole, s = int(own[0].target), params.schedules[k % 3]
+        # what each pass gives, at its position
+        given = [(at, r["size"] if len(r.positions) > p + 1 else r.taken - p * r["size"]) for r in own for p, at in enumerate(r.positions)]
+        assert sum(w for _, w in given) == whole
+        total = (s[0] + 2 * s[1] + s[2]) / 4
+        for tenth in range(1, 11):
+            t = tenth / 10
+            x = min(t, 0.5)
+            area = s[0] * x + (s[1] - s[0]) * x * x + (s[1] * (t - x) + (s[2] - s[1]) * (t - x) ** 2)
+            assert abs(sum(w for at, w in given if at <= t) / whole - area / total) < 0.02
+        if whole == 2 * own[0].source_size:
+            assert max(at for at, _ in given) > 0.98
+
+
+def test_mixing_ties_and_passes(spark):
+    rows = [(1, "a b c", "s"), (1, "a b c", "s"), (2, "d e f", "s"), (None, "g", None), (3, "x y", "t")]
+    df = docs(spark, rows).withColumn("positions", F.lit("clash"))
+    got = mixing.passes(df).collect()
+    assert {r.positions for r in got} == {"clash"}
+    taken = {}
+    for r in mixing.mix(df).collect():  # rows of an id are taken as often as the one taken most
+        taken[r.doc_id] = max(taken.get(r.doc_id, 0), len(r.positions))
+    count = {i: sum(r.doc_id == i for r in got) for i in taken}
+    assert count == {i: n * (2 if i == 1 else 1) for i, n in taken.items()}
+
+
 def test_mixing_empty(none):
     assert mixing.mix(none).count() == 0
     assert mixing.passes(none).count() == 0

@@ -1,20 +1,23 @@
 """Quality rules whose cutoffs are chosen under a bound on false rejection.
 
-Counts of a text give METRICS (shares and means). On labelled documents of good
-quality (the holdout) every cutoff of a fixed grid is a test of the hypothesis
-"this rule at this cutoff rejects more than ``alpha`` of the stratum's good
-documents". A cutoff is certified where the exact binomial probability of so few
-rejections is at most ``delta``, divided by the number of rules times
-cutoffs (multiple testing), for each stratum: that is the exact
-Clopper-Pearson upper bound being at most ``alpha``. Each rule takes its
-strictest certified cutoff; a stratum with too few labels certifies none, and
-the rule is silent there. ``alpha`` is shared among the rules, so that the
-whole verdict falsely rejects at most ``alpha`` of the good documents of a
-stratum, with probability 1 - ``delta``.
+Counts of a text give the values of RULES (shares and means), and each rule has a
+path of cutoffs from lax to strict. Level j of the LEVELS sets all rules to the j-th
+cutoff of their paths at once; what a level rejects, every stricter one rejects. The
+good documents among the labelled ones that pass the base rules are a stratum's holdout. A level is tested
+for the hypothesis "it rejects more than ``alpha`` of the stratum's good documents"
+by the exact binomial probability of so few rejections, which is at most ``delta``
+where the Clopper-Pearson upper bound is at most ``alpha``. Levels
+are tested in their fixed order from the laxest on, and the first that fails ends
+the sequence: fixed-sequence testing, in which the probability to certify any
+level that rejects more than ``alpha`` stays at ``delta`` whatever the number of
+levels. The strictest certified level holds. So in each stratum, with probability
+1 - ``delta``, the rules falsely reject at most ``alpha`` of the good documents that
+pass the base rules; the base rules are given and take part in no test. With 5 % for
+both, 59 good labels without a rejection are the fewest that certify anything.
 
 Every labelled document counts in the holdout and nothing is fitted besides the
-cutoffs. What leaves the tasks is a histogram: a row for each stratum, rule and
-cutoff, whatever the number of documents.
+level. What leaves the tasks is a histogram: a row for each stratum and
+level, whatever the number of documents.
 
 Defined results: a null or empty text has zero words and fails the base rules;
 a null stratum is a stratum of its own; labels without a document, with a null
@@ -109,20 +112,27 @@ def metrics() -> dict[str, Column]:
     }
 
 
-#: Cutoffs of each rule, from strict to lax. A document is rejected above one.
-GRID = {
-    "symbols": [round(0.02 * i, 4) for i in range(26)],
-    "repeats": [round(0.02 * i, 4) for i in range(1, 26)],
-    "dup_lines": [float(i) for i in range(1, 26)],
-    "long_words": [round(4.0 + 0.25 * i, 4) for i in range(33)],
-    "short_words": [round(13.0 + 0.25 * i, 4) for i in range(25)],
-}
+#: The path of each rule: its cutoff before the first level and at the last one,
+#: with equal steps between. A document is rejected above a cutoff.
+RULES = {"symbols": (0.64, 0.0), "repeats": (0.512, 0.0), "dup_lines": (64.0, 0.0), "long_words": (13.0, 5.0), "short_words": (17.6, 14.4)}
+LEVELS = 64
+
+
+def first_level() -> Column:
+    """The first level that rejects the document, 1 at least; more than LEVELS if none does."""
+    level = None
+    for rule, value in metrics().items():
+        lax, strict = RULES[rule]
+        # cutoff j is lax - (lax - strict) * j / LEVELS
+        own = F.floor((F.lit(lax) - value) * (LEVELS / (lax - strict))) + 1
+        level = own if level is None else F.least(level, own)
+    return F.greatest(level, F.lit(1)).cast("int")
 
 
 @dataclass(frozen=True)
 class Risk:
     alpha: float = 0.05  # share of a stratum's good documents that may be rejected
-    delta: float = 0.05  # probability that this fails in any stratum's test family
+    delta: float = 0.05  # probability that this fails in a stratum
 
 
 PRODUCTION = Risk()
@@ -143,43 +153,38 @@ def certified(k: int, n: int, alpha: float, level: float) -> bool:
     return n > 0 and k <= alpha * n and tail(k, n, alpha) <= level
 
 
+def certified_level(rejects: dict[int, int], n: int, risk: Risk = PRODUCTION) -> tuple[int, int]:
+    """The strictest level certified and its rejections; ``rejects``: documents by their first level."""
+    level = rejected = 0
+    for j in range(1, LEVELS + 1):
+        k = rejected + rejects.get(j, 0)
+        if not certified(k, n, risk.alpha, risk.delta):
+            break
+        level, rejected = j, k
+    return level, rejected
+
+
 def thresholds(counted: DataFrame, labels: DataFrame, stratum: str, risk: Risk = PRODUCTION) -> DataFrame:
-    """A row for each stratum, rule: its certified cutoff. ``stratum`` may be null."""
+    """(stratum, level, n_good, n_rejected) of each stratum with good documents; level 0 rejects nothing."""
     good = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("__q")).filter("__q = 1").select("__id")
-    held = counted.filter(~base_failed()).join(good, F.col("doc_id") == F.col("__id")).select(F.col(stratum).alias("stratum"), *[c.alias(r) for r, c in metrics().items()])
-    # for each rule, the number of cutoffs below the value: those reject the document
-    def below(rule: str) -> Column:
-        return F.size(F.filter(F.array(*map(F.lit, GRID[rule])), lambda c: c < F.col(rule)))
-
-    above = [F.struct(F.lit(r).alias("rule"), below(r).alias("above")) for r in GRID]
-    histogram = held.select("stratum", F.explode(F.array(*above)).alias("x")).groupBy("stratum", "x.rule", "x.above").agg(F.count("*").alias("n"))
-    tests = sum(map(len, GRID.values()))
-    share, level = risk.alpha / len(GRID), risk.delta / tests
+    held = counted.filter(~base_failed()).join(good, F.col("doc_id") == F.col("__id")).select(F.col(stratum).alias("stratum"), F.least(first_level(), F.lit(LEVELS + 1)).alias("first"))
+    histogram = held.groupBy("stratum", "first").agg(F.count("*").alias("n"))
 
     def choose(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        grid, n = GRID[key[1]], int(rows["n"].sum())
-        by = dict(zip(rows["above"], rows["n"], strict=True))
-        rejected, cutoff = n, None
-        for i, c in enumerate(grid):
-            rejected -= int(by.get(i, 0))  # those with exactly i cutoffs below pass cutoff i
-            if certified(rejected, n, share, level):
-                cutoff = c
-                break
-        return pd.DataFrame({"stratum": [key[0]], "rule": [key[1]], "cutoff": pd.array([cutoff], dtype="Float64"), "n_good": [n], "n_rejected": [rejected]})
+        n = int(rows["n"].sum())
+        level, rejected = certified_level(dict(zip(rows["first"].tolist(), rows["n"].tolist(), strict=True)), n, risk)
+        return pd.DataFrame({"stratum": [key[0]], "level": [level], "n_good": [n], "n_rejected": [rejected]})
 
     ship(counted.sparkSession)
-    # at most len(grid) + 1 rows for each key
-    return histogram.groupBy("stratum", "rule").applyInPandas(choose, f"stratum {counted.schema[stratum].dataType.simpleString()}, rule string, cutoff double, n_good long, n_rejected long")
-
-
-def judge(counted: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
-    """Add base_failed and kept; a stratum without a certified cutoff keeps."""
-    wide = cutoffs.groupBy(F.col("stratum").alias("__s")).agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"__{r}") for r in GRID])
-    out = counted.join(wide, F.col(stratum).eqNullSafe(F.col("__s")), "left").withColumn("base_failed", base_failed())
-    above = F.lit(False)
-    for r, value in metrics().items():
-        above = above | F.coalesce(value > F.col(f"__{r}"), F.lit(False))
-    return out.withColumn("kept", ~F.col("base_failed") & ~above).drop("__s", *[f"__{r}" for r in GRID])
+    # at most LEVELS + 1 rows for each key
+    return histogram.groupBy("stratum").applyInPandas(choose, f"stratum {counted.schema[stratum].dataType.simpleString()}, level int, n_good long, n_rejected long")
+
+
+def judge(counted: DataFrame, levels: DataFrame, stratum: str) -> DataFrame:
+    """Add base_failed and kept; a stratum without a certified level keeps."""
+    of = levels.select(F.col("stratum").alias("__s"), F.col("level").alias("__level"))
+    out = counted.join(of, F.col(stratum).eqNullSafe(F.col("__s")), "left").withColumn("base_failed", base_failed())
+    return out.withColumn("kept", ~F.col("base_failed") & (first_level() > F.coalesce("__level", F.lit(0)))).drop("__s", "__level")
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: Risk = PRODUCTION) -> DataFrame:

@@ -110,9 +110,36 @@ def test_secrets_entropy_and_allow_list():
         assert secrets.find(text) == []
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"])
+def test_random_keys_are_found(alphabet):
+    rng = random.Random(alphabet)
+    keys = ["".join(rng.choices(alphabet, k=32)) for _ in range(400)]
+    assert sum(any(k == "entropy" for k, _, _ in secrets.find(f"the key {x} here")) for x in keys) >= 0.97 * len(keys)
+
+
+def test_entropy_spans_by_window_and_within_patterns():
+    text = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+    assert [text[a:b] for k, a, b in secrets.find(text) if k == "entropy"][0].endswith("16C7e42F292c6912E7710c838347Ae178B4a")
+    text = "token = q9Zx7Lm2Vb8Nc4Rt6Yp1Kw3Hs5Dg0Fj"
+    assert [(k, text[a:b]) for k, a, b in secrets.find(text)] == [("assign", text), ("entropy", "q9Zx7Lm2Vb8Nc4Rt6Yp1Kw3Hs5Dg0Fj")]
+    for text in ("Donaudampfschifffahrtsgesellschaft", "antidisestablishmentarianism", "some_quite_long_variable_name_here", "incomprehensibilities-and-more"):
+        assert secrets.find(text) == []
+
+
 # --- op6
 
 
+def test_fixed_sequence_certifies_levels():
+    top = quality_rules.LEVELS
+    assert quality_rules.certified_level({top + 1: 58}, 58) == (0, 0)
+    assert quality_rules.certified_level({top + 1: 59}, 59) == (top, 0)
+    # 1000 good ones: 38 rejections show a rate below 5 %, 39 do not
+    best = max(k for k in range(60) if quality_rules.tail(k, 1000, 0.05) <= 0.05)
+    assert quality_rules.certified_level({10: best, 20: 1, top + 1: 999 - best}, 1000) == (19, best)
+    # nothing is certified beyond the first level that fails
+    assert quality_rules.certified_level({5: 60, top + 1: 940}, 1000) == (4, 0)
+
+
 def brute_repeated(words):
     n = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
     covered = set()
@@ -189,6 +216,27 @@ def test_minima_agree_as_often_as_sets():
 # --- op1
 
 
+@pytest.mark.parametrize("share", [0.5, 0.7, 0.9])
+def test_em_recovers_known_accuracies(share):
+    rng = np.random.Generator(np.random.PCG64(int(share * 10)))
+    n, m = 20000, len(quality_model.LABELLERS)
+    # P(bad), P(good), P(abstain) on bad and on good documents, far from the starting tables
+    bad = np.array([(p, q, 1 - p - q) for p, q in zip(np.linspace(0.9, 0.15, m), np.linspace(0.05, 0.5, m))])
+    good = np.array([(p, q, 1 - p - q) for p, q in zip(np.linspace(0.02, 0.08, m), np.linspace(0.9, 0.6, m))])
+    is_good = rng.random(n) < share
+    v = np.empty((n, m), int)
+    for j in range(m):
+        u = rng.random(n)
+        t = np.where(is_good[:, None], good[j].cumsum(), bad[j].cumsum())
+        v[:, j] = (u[:, None] > t[:, :2]).sum(1)
+    posterior, found, table = quality_model.estimate(Counter("".join(map(str, r)) for r in v.tolist()), quality_model.PRODUCTION)
+    assert abs(found - share) < 0.05
+    assert np.abs(table[quality_model.GOOD] - good).max() < 0.05
+    assert np.abs(table[quality_model.BAD] - bad).max() < 0.05
+    right = [(posterior["".join(map(str, r))] >= 0.5) == g for r, g in zip(v.tolist(), is_good)]
+    assert np.mean(right) > 0.95
+
+
 def test_em_finds_the_labellers():
     patterns = Counter()
     rng = random.Random(5)

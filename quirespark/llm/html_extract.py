@@ -1,7 +1,9 @@
 """Main text of web pages by tree scoring.
 
 A tolerant reader builds the element tree. Boilerplate subtrees (by element,
-role, hidden state or name) are cut. Every block with text of its own is a
+role or hidden state, and those of reader comments by name) are cut; a subtree whose name marks boilerplate is
+cut too, unless it holds HELD of the page's points, as an article within a
+"widget" does. Every block with text of its own is a
 paragraph with points for its length and commas; the points go to its ancestors,
 less with each level, and an ancestor's sum is discounted by its link density.
 The best container is kept, widened to an ancestor that holds clearly more of
@@ -43,11 +45,15 @@ CUT_TAGS = frozenset(
     "nav header footer aside form script style noscript template iframe button select option textarea input svg canvas object embed audio video dialog menu head title map fieldset".split()
 )
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tablist status".split())
+#: Words of class and id names that mark reader comments.
+COMMENT_NAMES = frozenset("comment comments commentlist respond disqus replies reply discussion".split())
+#: Share of the page's points from which a subtree is kept whatever its name.
+HELD = 0.5
 #: Words of class and id names that mark what is not the article.
 CUT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense promo promotion promoted sponsor sponsored sponsors banner cookie cookies consent gdpr notice notices notification "
     "newsletter subscribe subscription signup share sharing social related recommended recommendations menu nav navbar navigation breadcrumb breadcrumbs pagination pager "
-    "footer header masthead sidebar aside rail widget widgets popup modal overlay lightbox comment comments commentlist respond disqus replies reply discussion login toolbar skip".split()
+    "footer header masthead sidebar aside rail widget widgets popup modal overlay lightbox login toolbar skip".split()
 )
 #: Elements that hold the article as a whole; a name does not cut them.
 KEPT_TAGS = frozenset("html body main article".split())
@@ -61,12 +67,14 @@ _BOUNDS = frozenset("html body table ul ol dl select article section div main as
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "score", "points")
+    __slots__ = ("tag", "attrs", "parent", "children", "score", "points", "first", "last", "named")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.score = self.points = 0.0
+        self.first, self.last = -1, -1  # its range of blocks
+        self.named = False  # as boilerplate
 
 
 def parse(html: str) -> Node:
@@ -132,8 +140,8 @@ def _attrs(raw: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)}
 
 
-def _named(value: str) -> bool:
-    return any(p.lower() in CUT_NAMES for p in _PART.findall(value))
+def _named(value: str, names: frozenset) -> bool:
+    return any(p.lower() in names for p in _PART.findall(value))
 
 
 def cut(node: Node, in_article: bool) -> bool:
@@ -151,7 +159,12 @@ def cut(node: Node, in_article: bool) -> bool:
         return True
     if tag in INLINE and tag != "span":
         return False
-    return _named(a.get("class", "")) and not ("article" in a.get("class", "") and tag == "article") or _named(a.get("id", ""))
+    names = f"{a.get('class', '')} {a.get('id', '')}" if tag != "article" else a.get("id", "")
+    if _named(names, COMMENT_NAMES):
+        return True
+    node.named = _named(names, CUT_NAMES)
+    # a piece of a line isn't weighed
+    return node.named and tag == "span"
 
 
 def prune(node: Node, in_article: bool = False) -> None:
@@ -210,27 +223,38 @@ def points(text: str) -> float:
     return 1.0 + text.count(",") + min(len(text) / 100, 3.0) if len(text) >= 25 else 0.0
 
 
-def _density(found: list[tuple[Node, str, int]]) -> float:
-    total = sum(len(t) for _, t, _ in found)
-    return sum(k for _, _, k in found) / total if total else 0.0
-
-
-def _under(found, node: Node) -> list:
-    out = []
-    for x in found:
-        n = x[0]
-        while n is not None and n is not node:
-            n = n.parent
-        if n is node:
+def _weigh(found: list[tuple[Node, str, int]]) -> list[Node]:
+    """Points, scores and ranges of blocks of all elements above blocks; those elements, each once."""
+    above: dict[int, Node] = {}
+    for i, (node, text, _) in enumerate(found):
+        p, n, level = points(text), node, 0
+        while n is not None:
+            if id(n) not in above:
+                above[id(n)] = n
+                n.score = n.points = 0.0
+                n.first = i
+            n.last = i + 1
+            n.points += p
+            # a paragraph's parent gets all, the next half, and so on
+            n.score += 0.0 if level == 0 and n.tag in ("p", "pre", "li", "td", *HEADINGS) else p if level <= 1 else p / (2 if level == 2 else level * 1.5)
+            n, level = n.parent, level + 1
+    return list(above.values())
+
+
+def _without(found: list[tuple[Node, str, int]], gone: list[Node]) -> list[tuple[Node, str, int]]:
+    """Blocks that stand in none of the ranges of ``gone``."""
+    edges = [0] * (len(found) + 1)
+    for n in gone:
+        edges[n.first] += 1
+        edges[n.last] -= 1
+    out, depth = [], 0
+    for x, e in zip(found, edges, strict=False):
+        depth += e
+        if not depth:
             out.append(x)
     return out
 
 
-def _is_menu(found) -> bool:
-    """A run of links and little else."""
-    return bool(found) and _density(found) > 0.66 and sum(k > 0 for _, _, k in found) >= 2
-
-
 def extract(html: str | None) -> str:
     if not html or not html.strip():
         return ""
@@ -239,51 +263,43 @@ def extract(html: str | None) -> str:
     found = blocks(root)
     if not found:
         return ""
-    scored: dict[int, Node] = {}
-    linked: dict[int, list[int]] = {}
-    for node, text, k in found:
-        p, n, level = points(text), node, 0
-        while n is not None:
-            sums = linked.setdefault(id(n), [0, 0])
-            sums[0] += k
-            sums[1] += len(text)
-            n.points += p
-            # a paragraph's parent gets all, the next half, and so on
-            n.score += 0.0 if level == 0 and n.tag in ("p", "pre", "li", "td", *HEADINGS) else p if level <= 1 else p / (2 if level == 2 else level * 1.5)
-            scored[id(n)] = n
-            n, level = n.parent, level + 1
+    named = [n for n in _weigh(found) if n.named and n.points < HELD * root.points]
+    found = _without(found, named) or found
+    scored = _weigh(found)
+    # sums over the blocks before each: characters in links, characters, blocks with links
+    sums = [(0, 0, 0)]
+    for _, text, k in found:
+        a, b, c = sums[-1]
+        sums.append((a + k, b + len(text), c + (k > 0)))
+
+    def over(n: Node, i: int) -> int:
+        return sums[n.last][i] - sums[n.first][i]
+
+    def free(n: Node) -> float:
+        return 1 - over(n, 0) / max(1, over(n, 1))
+
     bonus = {"article": 1.5, "main": 1.25, "section": 1.0, "div": 1.0, "#root": 0.9, "html": 0.9, "body": 0.95}
-    free = lambda n: 1 - linked[id(n)][0] / max(1, linked[id(n)][1])
-    best = max(scored.values(), key=lambda n: n.score * free(n) * bonus.get(n.tag, 0.9))
+    best = max(scored, key=lambda n: n.score * free(n) * bonus.get(n.tag, 0.9))
     if best.points == 0:
-        best = max(scored.values(), key=lambda n: (n.tag in ("article", "main"), n.tag == "body"))
+        best = max(scored, key=lambda n: (n.tag in ("article", "main"), n.tag == "body"))
     up = best
     while up.parent is not None:  # an ancestor with clearly more text, or the article around it
         up = up.parent
         if up.tag in ("article", "main") or up.points * free(up) > 1.15 * best.points and up.points > best.points:
             best = up
-    keep = [best]
+    keep, known = [best], {id(n) for n in scored}
     if best.parent is not None and best.tag != "body":
         for s in best.parent.children:
-            if isinstance(s, str) or s is best or id(s) not in scored or free(s) < 0.75:
+            if isinstance(s, str) or s is best or id(s) not in known or free(s) < 0.75:
                 continue
-            if s.points >= max(4.0, 0.2 * best.points) or s.tag == "p" and linked[id(s)][1] > 80:
+            if s.points >= max(4.0, 0.2 * best.points) or s.tag == "p" and over(s, 1) > 80:
                 keep.append(s)
-    kept = {id(n) for n in keep}
-    menus: set[int] = set()
-    for n in scored.values():
-        if n.tag in ("ul", "ol", "dl", "div", "table", "section") and free(n) < 0.34 and _is_menu(_under(found, n)):
-            menus.add(id(n))
-    out = []
-    for node, text, _ in found:
-        n, inside, menu = node, False, False
-        while n is not None:
-            inside |= id(n) in kept
-            menu |= id(n) in menus
-            n = n.parent
-        if inside and not menu:
-            out.append(text)
-    return " ".join(out)
+    # runs of links and little else
+    menus = [n for n in scored if n.tag in ("ul", "ol", "dl", "div", "table", "section") and free(n) < 0.34 and over(n, 2) >= 2]
+    chosen = [x for n in sorted(keep, key=lambda n: n.first) for x in range(n.first, n.last)]
+    texts = _without([(n, (i, t), k) for i, (n, t, k) in enumerate(found)], menus)
+    kept = set(chosen)
+    return " ".join(t for _, (i, t), _ in texts if i in kept)
 
 
 def add_text(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -144,19 +144,24 @@ def _table(data, body: int, end: int, fmt: str, skip: int = 0) -> list[tuple]:
 
 
 class Track:
-    """A track's tables: codec, timescale, sample offsets, sizes, times, sync."""
+    """A track's tables: codec, timescale, sample offsets, sizes, times, sync; and its fragments."""
 
     def __init__(self) -> None:
         self.codec = self.handler = ""
-        self.timescale = self.duration = 0
+        self.id = self.timescale = self.duration = 0
         self.sizes: list[int] = []
         self.runs: list[tuple] = []
         self.chunks: list[int] = []
         self.times: list[tuple] = []
         self.sync: list[int] | None = None
+        self.defaults = (0, 0, 0)  # duration, size and flags of samples in fragments
+        #: (offset, length, duration, whether a key frame) of the samples in fragments
+        self.fragments: list[tuple[int, int, int, bool]] = []
 
     def read(self, kind: bytes, data, body: int, end: int) -> None:
-        if kind == b"mdhd":
+        if kind == b"tkhd":
+            (self.id,) = struct.unpack_from(">I", data, body + (20 if data[body] == 1 else 12))
+        elif kind == b"mdhd":
             if data[body] == 1:
                 self.timescale, self.duration = struct.unpack_from(">IQ", data, body + 20)
             else:
@@ -167,6 +172,8 @@ class Track:
             self.codec = bytes(data[body + 12 : body + 16]).decode("latin-1")
         elif kind == b"stsz":
             one, n = struct.unpack_from(">II", data, body + 4)
+            if one * n > len(data):
+                raise Malformed("more samples than bytes")
             self.sizes = [one] * n if one else [x for (x,) in _table(data, body, end, ">I", 4)]
         elif kind == b"stsc":
             self.runs = _table(data, body, end, ">III")
@@ -178,10 +185,13 @@ class Track:
             self.sync = [x for (x,) in _table(data, body, end, ">I")]
 
     def ranges(self) -> list[tuple[int, int]]:
-        """(offset, length) of every sample, from chunks and sizes."""
-        out, sample = [], 0
+        """(offset, length) of every sample, from chunks and sizes, and then of the fragments."""
+        out, sample, last = [], 0, 0
         for i, (first, per, _) in enumerate(self.runs):
             until = self.runs[i + 1][0] if i + 1 < len(self.runs) else len(self.chunks) + 1
+            if not (last < first <= until <= len(self.chunks) + 1 and per):
+                raise Malformed("runs of chunks out of order")
+            last = first
             for chunk in range(first, until):
                 at = self.chunks[chunk - 1]
                 for size in self.sizes[sample : sample + per]:
@@ -190,18 +200,88 @@ class Track:
                 sample += per
         if len(out) != len(self.sizes):
             raise Malformed("chunks and sizes don't agree")
-        return out
+        return out + [(at, size) for at, size, _, _ in self.fragments]
+
+    def keyframes(self, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Those of ``ranges`` that start a group; all where no table says otherwise."""
+        own = ranges[: len(self.sizes)]
+        keys = own if self.sync is None else [own[i - 1] for i in self.sync if 0 < i <= len(own)]
+        return keys + [(at, size) for at, size, _, key in self.fragments if key]
+
+    def seconds(self) -> float | None:
+        ticks = self.duration or sum(n * d for n, d in self.times) + sum(f[2] for f in self.fragments)
+        return ticks / self.timescale if self.timescale else None
+
+
+class _Fragment:
+    """The place of a track fragment while its runs are read; flags are those of ISO/IEC 14496-12."""
+
+    def __init__(self, data, body: int, moof: int, tracks: list[Track]):
+        flags, track = struct.unpack_from(">II", data, body)
+        self.track = next((t for t in tracks if t.id == track), None)
+        if self.track is None:
+            raise Malformed("fragment of no track")
+        at = body + 8
+        self.base = moof
+        if flags & 0x1:
+            (self.base,) = struct.unpack_from(">Q", data, at)
+            at += 8
+        at += 4 * bool(flags & 0x2)
+        given = list(self.track.defaults)
+        for i, bit in enumerate((0x8, 0x10, 0x20)):
+            if flags & bit:
+                (given[i],) = struct.unpack_from(">I", data, at)
+                at += 4
+        self.defaults, self.next = tuple(given), self.base
+
+    def run(self, data, body: int, end: int) -> None:
+        flags, n = struct.unpack_from(">II", data, body)
+        at, start, first = body + 8, self.next, None
+        if flags & 0x1:
+            start = self.base + struct.unpack_from(">i", data, at)[0]
+            at += 4
+        if flags & 0x4:
+            (first,) = struct.unpack_from(">I", data, at)
+            at += 4
+        bits = [b for b in (0x100, 0x200, 0x400, 0x800) if flags & b]
+        # a run without entries of its own is bounded by the bytes of its samples
+        if at + 4 * len(bits) * n > end or not flags & 0x200 and self.defaults[1] * n > len(data) or n > len(data):
+            raise Malformed("more samples than bytes")
+        for i in range(n):
+            duration, size, flag = self.defaults
+            if i == 0 and first is not None:
+                flag = first
+            for b in bits:
+                (x,) = struct.unpack_from(">I", data, at)
+                at += 4
+                duration, size, flag = (x if b == 0x100 else duration, x if b == 0x200 else size, x if b == 0x400 else flag)
+            self.track.fragments.append((start, size, duration, not flag & 0x10000))
+            start += size
+        self.next = start
 
 
 def parse(data: bytes) -> list[Track]:
     """The tracks of a file."""
-    view, tracks = memoryview(data), []
+    view, tracks, fragment, moof = memoryview(data), [], None, 0
     try:
         for path, body, end in boxes(view):
             if path[-1] == b"trak":
                 tracks.append(Track())
             elif tracks and b"trak" in path:
                 tracks[-1].read(path[-1], view, body, end)
+            elif path[-1] == b"trex":
+                track, _, *given = struct.unpack_from(">5I", view, body + 4)
+                for t in tracks:
+                    if t.id == track:
+                        t.defaults = tuple(given)
+            elif path[-1] == b"moof":
+                moof, fragment = body - 8, None
+            elif path[-1] == b"tfhd":
+                fragment = _Fragment(view, body, moof, tracks)
+            elif path[-1] == b"trun":
+                if fragment is None:
+                    raise Malformed("run outside a fragment")
+                fragment.run(view, body, end)
     except (struct.error, IndexError) as e:
         raise Malformed(str(e)) from e
     if not tracks:
@@ -209,6 +289,11 @@ def parse(data: bytes) -> list[Track]:
     return tracks
 
 
+def main_track(tracks: list[Track]) -> Track:
+    """The first video track, or else the first track."""
+    return next((t for t in tracks if t.handler == "vide"), tracks[0])
+
+
 PROBE = [
     ("codec", "string"),
     ("duration", "double"),
@@ -219,23 +304,21 @@ PROBE = [
 
 
 def probe_bytes(data: bytes) -> tuple:
-    """codec, duration in seconds, number of samples, key frames, error."""
+    """codec, duration in seconds, number of samples, key frames, error; of the main track."""
     try:
-        track = parse(data)[0]
+        track = main_track(parse(data))
         ranges = track.ranges()
-        if any(a + n > len(data) for a, n in ranges):
+        if any(a < 0 or a + n > len(data) for a, n in ranges):
             raise Malformed("samples beyond the end")
-        keys = ranges if track.sync is None else [ranges[i - 1] for i in track.sync if 0 < i <= len(ranges)]
-        ticks = track.duration or sum(n * d for n, d in track.times)
-        return track.codec, ticks / track.timescale if track.timescale else None, len(ranges), keys, None
+        return track.codec, track.seconds(), len(ranges), track.keyframes(ranges), None
     except (Malformed, struct.error, IndexError) as e:
         return None, None, None, None, str(e) or "malformed"
 
 
 def payload(data: bytes) -> bytes:
-    """The samples of the first track, read by their byte ranges."""
+    """The samples of the main track, read by their byte ranges."""
     view = memoryview(data)
-    return b"".join(view[a : a + n] for a, n in parse(data)[0].ranges())
+    return b"".join(view[a : a + n] for a, n in main_track(parse(data)).ranges())
 
 
 def store(df: DataFrame, text: str = "text", media: str = "media") -> DataFrame:

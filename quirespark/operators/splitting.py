@@ -1,14 +1,54 @@
-"""Splitting of chapters: fixed slices, greedy packs and recursion."""
+"""Splitting of chapters: fixed slices, greedy packs, sections by headers and recursion."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import estimate_tokens, sentences, words
+from ..functions.folds import cut_at, greedy, group_starts
+from ..functions.text import estimate_tokens, sentences, strip, words
 
-#: Separators of the recursive splitter, coarse to fine; fixed values.
-SEPARATORS = (r"\n#{1,6}\s", r"\n\n\n+", r"\n\n", r"\n", r"(?<=[.!?])\s+", r"(?<=[;:])\s+", r",\s+", r"\s+")
+#: Separators of the recursive splitter with their kinds, coarse to fine; fixed values.
+SEPARATORS = (
+    (r"\n\s*(?=Chapter\s+\d+)", "chapter"),
+    (r"\n\s*(?=CHAPTER\s+\d+)", "chapter"),
+    (r"\n\s*(?=Part\s+\d+)", "section"),
+    (r"\n\s*(?=Section\s+\d+)", "section"),
+    (r"\n\n+", "paragraph"),
+    (r"\n", "line"),
+    (r"(?<=[.!?])\s+", "sentence"),
+    (r"\s+", "word"),
+)
+#: Separators that know chapters; fixed values.
+CHAPTER_SEPARATORS = (
+    (r"\n\s*(?=CHAPTER\s+\d+)", "chapter"),
+    (r"\n\s*(?=Chapter\s+\d+)", "chapter"),
+    (r"\n\s*(?=PART\s+[IVX\d]+)", "section"),
+    (r"\n\s*(?=Part\s+[IVX\d]+)", "section"),
+    (r"\n\s*(?=Section\s+\d+)", "section"),
+    (r"\n\s*(?=MODULE\s+\d+)", "section"),
+    (r"\n\s*(?=Lesson\s+\d+)", "section"),
+    (r"\n\s*(?=\d+\.\s+[A-Z])", "section"),
+    (r"\n{3,}", "paragraph"),
+    (r"\n\n+", "paragraph"),
+    (r"\n", "line"),
+    (r"(?<=[.!?])\s+", "sentence"),
+    (r"\s+", "word"),
+)
+#: Target, least and most words of chapter-aware chunks; fixed values.
+IDEAL_WORDS, LEAST_WORDS, MOST_WORDS = 8000, 3000, 15000
+#: Headers of sections, matched without regard to case; fixed values.
+HEADERS = (
+    r"#{2,4}\s+.+",
+    r"\d+\.\d+(?:\.\d+)?\s+[A-Z].+",
+    r"[A-Z][A-Z\s]{10,60}",
+    r"[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,6}",
+    r"(?:Introduction|Summary|Conclusion|Overview|Background|Prerequisites|Setup|Installation|Configuration|Implementation|Example|Exercise|Review|Key\s+(?:Points|Takeaways|Concepts))(?:\s*:)?",
+)
+#: Estimated tokens of a section; fixed value.
+MAX_TOKENS = 15000
 
 
 def fixed_slices(chapters: DataFrame, size: int = 2500, text: str = "text") -> DataFrame:
@@ -28,18 +68,9 @@ def balanced_slices(w: Column, limit: int) -> Column:
     return F.when(n <= limit, F.array(w)).otherwise(F.transform(F.sequence(F.lit(0), n - 1, size), lambda at: F.slice(w, at + 1, size)))
 
 
-def _pack(items: Column, weight, limit: int, joiner: str) -> Column:
+def _pack(items: Column, weight: Callable[[Column], Column], limit: int, joiner: str) -> Column:
     """Greedy packs of strings in order, as structs of text and weight."""
-    empty = F.array().cast("array<struct<t:string,n:int>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        last, n = F.try_element_at(acc, F.lit(-1)), weight(x).cast("int")
-        grown = F.struct(F.concat(last["t"], F.lit(joiner), x).alias("t"), (last["n"] + n).alias("n"))
-        fits = (F.size(acc) > 0) & (last["n"] + n <= limit)
-        joined = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))
-        return F.when(fits, joined).otherwise(F.concat(acc, F.array(F.struct(x.alias("t"), n.alias("n")))))
-
-    return F.aggregate(items, empty, step)
+    return F.transform(greedy(items, weight, limit), lambda g: F.struct(F.array_join(g, joiner).alias("t"), F.aggregate(g, F.lit(0), lambda n, x: n + weight(x).cast("int")).alias("n")))
 
 
 def resplit(chapters: DataFrame, limit: int, text: str = "text") -> DataFrame:
@@ -65,37 +96,206 @@ def sentence_packs(chapters: DataFrame, limit: int, text: str = "text") -> DataF
     return t.select(*[c for c in t.columns if c not in ("i", "x")], (F.col("i") + 1).alias("pack"), estimate_tokens(F.col("x.t")).alias("tokens"), F.col("x.t").alias("content"))
 
 
-def recursive_split(chapters: DataFrame, limit: int, separators: tuple[str, ...] = SEPARATORS, text: str = "text") -> DataFrame:
-    """Pieces of at most ``limit`` words, by the coarsest separator that divides.
+def paragraph_packs(text: Column, limit: int = MAX_TOKENS) -> Column:
+    """Packs of whole paragraphs of at most ``limit`` estimated tokens, joined by a
+    blank line; a paragraph above it becomes packs of its sentences.
+    """
+    paragraphs = F.filter(F.transform(F.split(text, r"\n(?U:\s)*\n"), strip), lambda p: p != "")
+
+    def texts(group: Column) -> Column:
+        parts = F.filter(F.transform(sentences(group[0]), strip), lambda s: s != "")
+        by_sentence = F.transform(greedy(parts, estimate_tokens, limit), lambda g: F.array_join(g, " "))
+        return F.when((F.size(group) == 1) & (estimate_tokens(group[0]) > limit), by_sentence).otherwise(F.array(F.array_join(group, "\n\n")))
+
+    return F.flatten(F.transform(greedy(paragraphs, estimate_tokens, limit), texts))
+
+
+def needs_splitting(text: Column, limit: int = MAX_TOKENS) -> Column:
+    return estimate_tokens(text) > limit
+
+
+def section_headers(chapters: DataFrame, keys: list[str], text: str = "text", patterns: tuple[str, ...] = ()) -> DataFrame:
+    """The lines of the chapters with ``header``: whether a section starts there.
 
-    One level for each separator, unrolled: a piece that is too large goes on to
-    the next separator, and in the end into slices of words. The separator stays
-    with the piece after it.
+    A header has 3 to 80 characters and one of the forms; from the seventh line
+    on it follows a blank line, and it isn't among numbered list items (two or
+    more within three lines around it). Windows run within a chapter.
     """
-    mark = "\x01"
-    pieces: Column = F.array(F.col(text))
-    for sep in separators:
-        def level(p: Column, sep: str = sep) -> Column:
-            marked = F.regexp_replace(p, f"({sep})", f"{mark}$1")
-            return F.when(F.size(words(p)) <= limit, F.array(p)).otherwise(F.filter(F.split(marked, mark), lambda x: F.trim(x) != ""))
+    t = chapters.select(*keys, F.posexplode(F.split(text, "\n")).alias("line_index", "line"))
+    t = t.withColumn("__s", strip(F.col("line")))
+    order = Window.partitionBy(*keys).orderBy("line_index")
+    numbered = F.col("__s").rlike(r"(?U)^\d+\.\d+").cast("int")
+    near = F.coalesce(F.sum(numbered).over(order.rowsBetween(-3, 3)), F.lit(0)) - numbered
+    form = F.lit(False)
+    for p in (*patterns, *HEADERS):
+        form = form | F.col("__s").rlike(f"(?iU)^(?:{p})$")
+    blank_before = F.coalesce(F.lag("__s").over(order), F.lit("")) == ""
+    header = F.length("__s").between(3, 80) & form & ((F.col("line_index") <= 5) | blank_before) & (near < 2)
+    title = strip(F.regexp_replace(F.regexp_replace(F.regexp_replace("__s", r"^#+(?U:\s)*", ""), r"[:.]+$", ""), r"(?U)\s+", " "))
+    return t.select(*keys, "line_index", "line", header.alias("header"), F.when(header, F.substring(title, 1, 80)).alias("header_title"))
+
+
+def section_contents(lines: DataFrame, keys: list[str], least: int = 50, preamble: int = 100) -> DataFrame:
+    """(keys, at, title, content) of the sections that have ``least`` words; ``at`` orders them.
+
+    What stands before a first header below the eleventh line is the section
+    "Introduction", if it has ``preamble`` words.
+    """
+    order = Window.partitionBy(*keys).orderBy("line_index").rowsBetween(Window.unboundedPreceding, 0)
+    t = lines.withColumn("at", F.sum(F.col("header").cast("int")).over(order))
+    one = F.struct("line_index", F.when(~F.col("header"), F.col("line")).alias("line"))
+    g = t.groupBy(*keys, "at").agg(F.max("header_title").alias("title"), F.array_sort(F.collect_list(one)).alias("l"), F.max("line_index").alias("last"))
+    # a header is no part of its section, nor does it leave an empty line
+    body = F.transform(F.filter("l", lambda x: x["line"].isNotNull()), lambda x: x["line"])
+    g = g.withColumn("content", strip(F.array_join(body, "\n"))).withColumn("n", F.size(words(F.col("content"))))
+    enough = F.when(F.col("at") > 0, F.col("n") >= least).otherwise((F.col("last") >= 10) & (F.col("n") >= preamble))
+    return g.filter(enough).select(*keys, "at", F.coalesce("title", F.lit("Introduction")).alias("title"), "content")
+
+
+def sections(chapters: DataFrame, keys: list[str], limit: int = MAX_TOKENS, patterns: tuple[str, ...] = (), text: str = "text") -> DataFrame:
+    """Chapters (keys, title, text) in sections of about ``limit`` estimated tokens at most.
+
+    (keys, parent_title, section_number, title, content, token_count, word_count,
+    is_partial). A chapter within the limit is one section. A larger one is cut at
+    its headers, if that gives two sections or more, and what is too large then
+    at paragraphs, in parts with numbered titles.
+    """
+    c = chapters.select(*keys, F.coalesce("title", F.lit("Untitled")).alias("title"), F.coalesce(text, F.lit("")).alias("text"))
+    small = c.filter(~needs_splitting(F.col("text"), limit)).select(*keys, F.col("title").alias("parent_title"), F.lit(0).alias("at"), "title", F.col("text").alias("content"), F.lit(True).alias("whole"))
+    large = c.filter(needs_splitting(F.col("text"), limit))
+    headed = section_contents(section_headers(large, keys, "text", patterns), keys)
+    several = headed.groupBy(*keys).agg(F.count("*").alias("__n")).filter("__n > 1").drop("__n")
+    by_header = headed.join(several, keys).join(large.select(*keys, F.col("title").alias("parent_title")), keys)
+    by_header = by_header.select(*keys, "parent_title", "at", "title", "content", (~needs_splitting(F.col("content"), limit)).alias("whole"))
+    rest = large.join(several, keys, "left_anti").select(*keys, F.col("title").alias("parent_title"), F.lit(0).alias("at"), "title", F.col("text").alias("content"), F.lit(False).alias("whole"))
+    each = small.unionByName(by_header).unionByName(rest)
+    parts = F.when(F.col("whole"), F.array("content")).otherwise(paragraph_packs(F.col("content"), limit))
+    t = each.select(*keys, "parent_title", "at", "title", "whole", F.posexplode(parts).alias("i", "content"))
+    t = t.withColumn("section_number", F.row_number().over(Window.partitionBy(*keys).orderBy("at", "i")))
+    title = F.when(F.col("whole"), F.col("title")).otherwise(F.concat("title", F.lit(" (Part "), F.col("i") + 1, F.lit(")")))
+    return t.select(*keys, "parent_title", "section_number", title.alias("title"), "content", estimate_tokens(F.col("content")).alias("token_count"), F.size(words(F.col("content"))).alias("word_count"), (~F.col("whole")).alias("is_partial"))
+
+
+_PIECE = "array<struct<t:string,kind:string>>"
+#: The mark that cuts pieces apart and its escape; both are escaped in the text.
+_MARK, _ESCAPE = "\x01", "\x02"
 
-        pieces = F.flatten(_map(pieces, level))
-    pieces = F.flatten(_map(pieces, lambda p: F.when(F.size(words(p)) <= limit, F.array(p)).otherwise(F.transform(balanced_slices(words(p), limit), lambda s: F.array_join(s, " ")))))
-    t = chapters.select(*[c for c in chapters.columns if c != text], F.posexplode(pieces).alias("chunk_index", "chunk"))
-    return t.withColumn("chunk_words", F.size(words(F.col("chunk"))))
 
+def _escaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPE + "b")), F.lit(_MARK), F.lit(_ESCAPE + "a"))
 
-def _map(items: Column, f) -> Column:
-    def one(p: Column) -> Column:
-        return f(p)
 
-    return F.transform(items, one)
+def _unescaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_ESCAPE + "a"), F.lit(_MARK)), F.lit(_ESCAPE + "b"), F.lit(_ESCAPE))
+
+
+def pieces(text: Column, limit: int, separators: tuple[tuple[str, str], ...] = SEPARATORS, length: Callable[[Column], Column] | None = None) -> Column:
+    """array<struct<t, kind>> of the pieces of at most ``limit`` words, in order; their texts make up ``text``.
+
+    By the coarsest separator that divides, one level for each, unrolled: a piece
+    that is too large goes on to the next. A separator stays with the piece
+    after it. ``kind`` is that of the last separator but "word" that cut the piece
+    out, "word" if there is none. ``length`` measures a piece instead of words.
+    """
+    size = length or (lambda p: F.size(words(p)))
+    out = F.array(F.struct(_escaped(text).alias("t"), F.lit("word").alias("kind"))).cast(_PIECE)
+    for regex, kind in separators:
+
+        def level(p: Column) -> Column:  # called before the loop goes on
+            pattern, separator = regex, kind
+            parts = F.filter(F.split(F.regexp_replace(p["t"], f"({pattern})", f"{_MARK}$1"), _MARK), lambda x: x != "")
+            of = p["kind"] if separator == "word" else F.lit(separator)
+            cut = F.transform(parts, lambda x: F.struct(x.alias("t"), of.alias("kind")))
+            return F.when((size(p["t"]) <= limit) | (F.size(parts) < 2), F.array(p)).otherwise(cut).cast(_PIECE)
+
+        out = F.flatten(F.transform(out, level))
+    return F.transform(out, lambda p: F.struct(_unescaped(p["t"]).alias("t"), p["kind"].alias("kind")))
+
+
+def recursive_split(
+    chapters: DataFrame,
+    limit: int = 10000,
+    overlap: int = 200,
+    least: int = 500,
+    separators: tuple[tuple[str, str], ...] = SEPARATORS,
+    text: str = "text",
+) -> DataFrame:
+    """(..., chunk_index, chunk, start_index, end_index, chunk_words, separator).
+
+    Pieces of at most ``limit`` words; each takes the last ``overlap`` words of the one
+    before it to its front; then from the first on, a chunk of under ``least``
+    words takes the next, joined by a line end. Blank pieces are left out; the
+    positions are those of the pieces in the text.
+    """
+    keys = [c for c in chapters.columns if c != text]
+    t = chapters.select(*keys, F.posexplode(pieces(F.coalesce(text, F.lit("")), limit, separators)).alias("__i", "__x"))
+    order = Window.partitionBy(*keys).orderBy("__i")
+    t = t.withColumn("__end", F.sum(F.length("__x.t")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    t = t.filter(F.size(words(F.col("__x.t"))) > 0).select(*keys, "__i", F.col("__x.t").alias("t"), F.col("__x.kind").alias("kind"), (F.col("__end") - F.length("__x.t")).alias("b"), F.col("__end").alias("e"))
+    if overlap:
+        before = words(F.lag("t").over(order))
+        tail = F.array_join(F.when(F.size(before) > overlap, F.slice(before, -overlap, overlap)).otherwise(before), " ")
+        grown = F.when(F.lag("t").over(order).isNotNull(), F.concat(tail, F.lit(" "), "t")).otherwise(F.col("t"))
+        start = F.when(F.lag("t").over(order).isNotNull(), F.greatest(F.lit(0), F.col("b") - F.length(tail) - 1)).otherwise(F.col("b"))
+        t = t.select(*keys, "__i", grown.alias("t"), "kind", start.alias("b"), "e")
+    t = t.withColumn("n", F.size(words(F.col("t"))))
+    one = F.struct("__i", "t", "kind", "b", "e", "n")
+    g = t.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("c"))
+    g = g.withColumn("__starts", group_starts(F.transform("c", lambda x: x["n"]), lambda held, x: held < least))
+    g = g.select(*keys, F.posexplode(cut_at(F.col("c"), F.col("__starts"))).alias("chunk_index", "g"))
+    return g.select(
+        *keys,
+        "chunk_index",
+        F.array_join(F.transform("g", lambda x: x["t"]), "\n").alias("chunk"),
+        F.get("g", F.lit(0))["b"].alias("start_index"),
+        F.element_at("g", -1)["e"].alias("end_index"),
+        F.aggregate("g", F.lit(0), lambda n, x: n + x["n"]).alias("chunk_words"),
+        F.get("g", F.lit(0))["kind"].alias("separator"),
+    )
+
+
+def chapter_aware_split(chapters: DataFrame, target: int = IDEAL_WORDS, least: int = LEAST_WORDS, overlap: int = 200, text: str = "text") -> DataFrame:
+    """``recursive_split`` by separators that know chapters, with sizes of chapters."""
+    return recursive_split(chapters, target, overlap, least, CHAPTER_SEPARATORS, text)
+
+
+def force_split(w: Column, size: int) -> Column:
+    """Slices of ``size`` words, the last one shorter."""
+    return F.when(F.size(w) == 0, F.array().cast("array<array<string>>")).otherwise(F.transform(F.sequence(F.lit(1), F.size(w), F.lit(size)), lambda at: F.slice(w, at, size)))
+
+
+def split_stats(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """Number and sizes of each text's chunks, and the chunks of each separator."""
+    by_kind = chunks.groupBy(*keys, "separator").agg(F.count("*").alias("k"), F.sum("chunk_words").alias("s"), F.min("chunk_words").alias("lo"), F.max("chunk_words").alias("hi"))
+    used = F.map_from_entries(F.array_sort(F.collect_list(F.struct("separator", "k"))))
+    out = by_kind.groupBy(*keys).agg(F.sum("k").alias("total_chunks"), F.sum("s").alias("total_words"), F.min("lo").alias("min_chunk_size"), F.max("hi").alias("max_chunk_size"), used.alias("separators_used"))
+    return out.withColumn("avg_chunk_size", F.col("total_words") / F.col("total_chunks"))
+
+
+def validate_splits(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """Whether each text's chunks have sizes of chapters: issues, recommendations and a score of 100 at most."""
+    under, over = F.col("chunk_words") < LEAST_WORDS, F.col("chunk_words") > MOST_WORDS
+    g = chunks.groupBy(*keys).agg(F.count("*").alias("total_chunks"), F.sum("chunk_words").alias("total_words"), F.sum(under.cast("int")).alias("undersized_count"), F.sum(over.cast("int")).alias("oversized_count"))
+    g = g.withColumn("avg_chunk_size", F.col("total_words") / F.col("total_chunks")).withColumn("expected_chapters", F.greatest(F.lit(1).cast("long"), F.floor(F.col("total_words") / IDEAL_WORDS)))
+    avg, n = F.col("avg_chunk_size"), F.col("total_chunks")
+    count = F.concat(n.cast("string"), F.lit(") for word count ("), F.col("total_words").cast("string"), F.lit(")"))
+    rules = [
+        (avg < LEAST_WORDS, F.concat(F.lit("Average chunk size ("), F.format_string("%.0f", F.bround(avg, 0)), F.lit(f") below target ({LEAST_WORDS})")), "Consider merging small chapters"),
+        (avg > MOST_WORDS, F.concat(F.lit("Average chunk size ("), F.format_string("%.0f", F.bround(avg, 0)), F.lit(f") above target ({MOST_WORDS})")), "Consider splitting large chapters"),
+        (F.col("undersized_count") > 0, F.concat(F.col("undersized_count").cast("string"), F.lit(" chunks below minimum size")), None),
+        (F.col("oversized_count") > 0, F.concat(F.col("oversized_count").cast("string"), F.lit(" chunks above maximum size")), None),
+        (n > F.col("expected_chapters") * 2, F.concat(F.lit("Too many chunks ("), count), "Possible over-fragmentation"),
+        ((n < F.floor(F.col("expected_chapters") / 2)) & (F.col("expected_chapters") > 2), F.concat(F.lit("Too few chunks ("), count), "Possible under-detection"),
+    ]
+    issues = F.array_compact(F.array(*[F.when(c, text) for c, text, _ in rules]))
+    advice = F.array_compact(F.array(*[F.when(c, F.lit(r)) for c, _, r in rules if r]))
+    g = g.withColumn("issues", issues).withColumn("recommendations", advice)
+    score = F.lit(100) - F.size("issues") * 10 - F.col("undersized_count") * 5 - F.col("oversized_count") * 5
+    return g.withColumn("valid", F.size("issues") == 0).withColumn("quality_score", F.greatest(F.lit(0), F.least(F.lit(100), score)).cast("int"))
 
 
 def with_overlap(chunks: DataFrame, keys: list[str], overlap: int = 200) -> DataFrame:
     """Prepend to each chunk the last ``overlap`` words of the one before it."""
-    from pyspark.sql import Window
-
     before = F.lag("chunk").over(Window.partitionBy(*keys).orderBy("chunk_index"))
     w = words(F.coalesce(before, F.lit("")))
     tail = F.array_join(F.when(F.size(w) > overlap, F.slice(w, -overlap, overlap)).otherwise(w), " ")

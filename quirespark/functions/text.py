@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,20 +70,33 @@ def quotes(s: Column) -> Column:
     return F.translate(s, "".join(QUOTES), "".join(QUOTES.values()))
 
 
+def mapped(s: Column, *tables: dict[str, str]) -> Column:
+    """``s`` with the characters of the tables replaced; no replacement holds a key.
+
+    What becomes one character is translated in one scan; the rest is replaced
+    one by one, in texts that have any of it.
+    """
+    table = {k: v for t in tables for k, v in t.items()}
+    one = {k: v for k, v in table.items() if len(v) == 1}
+    many = {k: v for k, v in table.items() if len(v) != 1}
+    s = F.translate(s, "".join(one), "".join(one.values())) if one else s
+    return F.when(s.rlike(f"[{''.join(many)}]"), replace_all(s, many)).otherwise(s) if many else s
+
+
 def basic_dashes(s: Column) -> Column:
-    return replace_all(s, BASIC_DASHES)
+    return mapped(s, BASIC_DASHES)
 
 
 def llm_dashes(s: Column) -> Column:
-    return replace_all(s, LLM_DASHES)
+    return mapped(s, LLM_DASHES)
 
 
 def ligatures(s: Column) -> Column:
-    return replace_all(s, LIGATURES)
+    return mapped(s, LIGATURES)
 
 
 def symbols(s: Column) -> Column:
-    return replace_all(s, SYMBOLS)
+    return mapped(s, SYMBOLS)
 
 
 def basic_control(s: Column) -> Column:
@@ -95,9 +108,9 @@ def llm_control(s: Column) -> Column:
 
 
 def basic_strip_markup(s: Column) -> Column:
-    """Tags become a space, then five entities; numeric ones go."""
+    """Tags become a space, then five entities, so that an escaped entity is read twice; numeric ones go."""
     s = F.regexp_replace(s, r"<[^>]+>", " ")
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+    for name, char in (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"')):
         s = F.replace(s, F.lit(name), F.lit(char))
     return F.regexp_replace(s, r"&#\d+;", "")
 
@@ -112,11 +125,11 @@ def _lines(s: Column) -> Column:
 
 def basic_page_numbers(s: Column, first: int = FIRST_PAGE_LINE) -> Column:
     """Bare numbers from line ``first`` on become empty lines."""
-    return F.array_join(F.transform(_lines(s), lambda x, i: F.when((i >= first) & x.rlike(BARE_NUMBER), "").otherwise(x)), "\n")
+    return F.array_join(F.transform(_lines(s), lambda x, i: F.when((i >= first) & x.rlike(f"(?U){BARE_NUMBER}"), "").otherwise(x)), "\n")
 
 
 def is_page_line(line: Column) -> Column:
-    return line.rlike("|".join(f"(?:{p})" for p in PAGE_LINES))
+    return line.rlike("(?U)" + "|".join(f"(?:{p})" for p in PAGE_LINES))
 
 
 def llm_page_numbers(s: Column) -> Column:
@@ -128,13 +141,13 @@ def strip(s: Column) -> Column:
 
 
 def basic_whitespace(s: Column) -> Column:
-    s = F.regexp_replace(s, r"[^\S\n]+", " ")
+    s = F.regexp_replace(s, r"(?U)[^\S\n]+", " ")
     s = F.regexp_replace(s, r"\n{3,}", "\n\n")
     return strip(F.array_join(F.transform(_lines(s), strip), "\n"))
 
 
 def llm_whitespace(s: Column) -> Column:
-    s = F.regexp_replace(s, r"[ \t]+", " ")
+    s = F.regexp_replace(s, r"(?U)[^\S\n]+", " ")
     s = F.regexp_replace(s, r" +\n", "\n")
     return strip(F.regexp_replace(s, r"\n{3,}", "\n\n"))
 
@@ -150,24 +163,96 @@ def nfkc(s: Column) -> Column:
     return F.pandas_udf(compose, T.StringType())(s)
 
 
-def clean_basic(s: Column, normalize: bool = True, page_numbers: bool = True) -> Column:
-    s = basic_strip_markup(s)
+def clean_basic(s: Column, markup: bool = True, normalize: bool = True, quote: bool = True, dash: bool = True, control: bool = True, page_numbers: bool = True, whitespace: bool = True) -> Column:
+    """The steps in their order; each can be left out."""
+    s = basic_strip_markup(s) if markup else s
+    s = nfkc(s) if normalize else s
+    s = quotes(s) if quote else s
+    s = basic_dashes(s) if dash else s
+    s = basic_control(s) if control else s
+    s = basic_page_numbers(s) if page_numbers else s
+    return basic_whitespace(s) if whitespace else s
+
+
+def clean_llm(
+    s: Column, normalize: bool = True, quote: bool = True, dash: bool = True, ligature: bool = True, symbol: bool = True, page_numbers: bool = True, html: bool = True, control: bool = True, whitespace: bool = True
+) -> Column:
+    """The steps in their order; each can be left out."""
     s = nfkc(s) if normalize else s
-    s = basic_control(basic_dashes(quotes(s)))
-    return basic_whitespace(basic_page_numbers(s) if page_numbers else s)
+    s = llm_strip_html(s) if html else s
+    # the tables have no character in common, so one pass serves for all
+    tables = [t for on, t in ((ligature, LIGATURES), (quote, QUOTES), (dash, LLM_DASHES), (symbol, SYMBOLS)) if on]
+    s = mapped(s, *tables) if tables else s
+    s = llm_control(s) if control else s
+    s = llm_page_numbers(s) if page_numbers else s
+    return llm_whitespace(s) if whitespace else s
+
+
+def _count_of(s: Column, table: dict[str, str]) -> Column:
+    return count_chars(s, "".join(table))
+
+
+def clean_basic_with_stats(df: DataFrame, text: str, out: str = "clean") -> DataFrame:
+    """Add the cleaned text and what each step of ``clean_basic`` has changed."""
+    t = df.withColumn("__0", F.coalesce(text, F.lit(""))).withColumn("__1", basic_strip_markup(F.col("__0"))).withColumn("__2", nfkc(F.col("__1")))
+    t = t.withColumn("__3", basic_dashes(quotes(F.col("__2")))).withColumn("__4", basic_control(F.col("__3")))
+    t = t.withColumn(out, basic_whitespace(basic_page_numbers(F.col("__4"))))
+    return t.select(
+        *df.columns,
+        out,
+        F.length("__0").alias("original_length"),
+        F.length(out).alias("final_length"),
+        (F.length("__0") - F.length("__1")).alias("markup_removed"),
+        _count_of(F.col("__2"), QUOTES).alias("quotes_normalized"),
+        _count_of(F.col("__2"), BASIC_DASHES).alias("dashes_normalized"),
+        (F.length("__3") - F.length("__4")).alias("control_chars_removed"),
+    )
+
+
+def clean_llm_with_stats(df: DataFrame, text: str, out: str = "clean") -> DataFrame:
+    """Add the cleaned text and what each step of ``clean_llm`` has changed."""
+    t = df.withColumn("__0", F.coalesce(text, F.lit(""))).withColumn("__1", nfkc(F.col("__0"))).withColumn("__2", llm_strip_html(F.col("__1")))
+    t = t.withColumn("__3", mapped(F.col("__2"), LIGATURES, QUOTES, LLM_DASHES, SYMBOLS)).withColumn("__4", llm_control(F.col("__3")))
+    t = t.withColumn("__5", llm_page_numbers(F.col("__4"))).withColumn(out, llm_whitespace(F.col("__5")))
+    saved = F.length("__0") - F.length(out)
+    return t.select(
+        *df.columns,
+        out,
+        F.length("__0").alias("original_length"),
+        F.length(out).alias("cleaned_length"),
+        F.abs(F.length("__1") - F.length("__0")).alias("unicode_normalizations"),
+        F.regexp_count("__1", F.lit("<[^>]+>")).alias("html_tags_removed"),
+        _count_of(F.col("__2"), LIGATURES).alias("ligatures_expanded"),
+        _count_of(F.col("__2"), QUOTES).alias("smart_quotes_replaced"),
+        (F.length("__3") - F.length("__4")).alias("control_chars_removed"),
+        (F.size(_lines(F.col("__4"))) - F.size(F.filter(_lines(F.col("__4")), lambda x: ~is_page_line(x)))).alias("page_numbers_removed"),
+        (F.length("__5") - F.length(out)).alias("whitespace_normalized"),
+        saved.alias("bytes_saved"),
+        F.when(F.length("__0") == 0, 0.0).otherwise(saved * 100.0 / F.length("__0")).alias("reduction_percent"),
+    )
+
+
+def cleaning_report(stats: str = "") -> Column:
+    """The columns of ``clean_llm_with_stats`` as a text for readers."""
 
+    def number(c: str) -> Column:
+        return F.format_string("%,d", F.col(f"{stats}{c}"))
 
-def clean_llm(s: Column, normalize: bool = True) -> Column:
-    s = llm_strip_html(nfkc(s) if normalize else s)
-    s = llm_control(symbols(llm_dashes(quotes(ligatures(s)))))
-    return llm_whitespace(llm_page_numbers(s))
+    changes = ("unicode_normalizations", "smart_quotes_replaced", "html_tags_removed", "control_chars_removed", "ligatures_expanded", "page_numbers_removed", "whitespace_normalized")
+    head = [
+        F.lit("Text Cleaning Report\n====================\nOriginal length: "), number("original_length"),
+        F.lit(" chars\nCleaned length:  "), number("cleaned_length"),
+        F.lit(" chars\nBytes saved:     "), number("bytes_saved"), F.lit(" ("), F.format_string("%.1f", F.col(f"{stats}reduction_percent")), F.lit("%)\n\nChanges:\n"),
+    ]
+    lines = [F.concat(F.lit(f"- {(c.capitalize().replace('_', ' ') + ':').replace('Html', 'HTML'):<24}"), F.col(f"{stats}{c}").cast("string"), F.lit("\n")) for c in changes]
+    return F.concat(*head, *lines)
 
 
 def clean_for_embedding(s: Column, normalize: bool = True) -> Column:
     s = clean_llm(s, normalize)
-    s = F.regexp_replace(s, r"\*\*([^*]+)\*\*", "$1")
-    s = F.regexp_replace(s, r"\*([^*]+)\*", "$1")
-    s = F.regexp_replace(s, r"`([^`]+)`", "$1")
+    s = F.regexp_replace(s, r"\*\*(.+?)\*\*", "$1")
+    s = F.regexp_replace(s, r"\*(.+?)\*", "$1")
+    s = F.regexp_replace(s, r"`(.+?)`", "$1")
     s = F.regexp_replace(s, r"(?m)^#+\s*", "")
     s = F.regexp_replace(s, r"https?://\S+", "")
     return strip(F.regexp_replace(s, r"\S+@\S+\.\S+", ""))

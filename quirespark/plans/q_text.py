@@ -10,8 +10,8 @@ from ..operators import storage
 from ..sources.tables import read
 
 #: Added to each text, the same on both sides.
-NOISE = " “double” ‘single’ «guillemets» a–b c—d e−f ﬁve œuvre … • → ≥ x&lt;y &amp; <b>bold</b>\n  12  \nPage 7\n- 8 -\n3 of 9\n\n\n\nend **strong** `code` https://a.b/c me@x.org \x07"
-_SQL_NOISE = "'" + NOISE.replace("\n", "' || chr(10) || '").replace("\x07", "' || chr(7) || '") + "'"
+NOISE = " “double” ‘single’ «guillemets» a–b c—d e−f ﬁve œuvre … • → ≥ x&lt;y &amp; <b>bold</b>\n  12  \nPage 7\n- 8 -\n3 of 9\n\n\n\nend **strong** `code` https://a.b/c me@x.org \x07 &amp;lt;i&amp;gt;\r\nnext\r\n\r\n\r\nno\u00a0break\u2003em zero\u200bwidth soft\u00adhyphen"
+_SQL_NOISE = "'" + NOISE.replace("\n", "' || chr(10) || '").replace("\r", "' || chr(13) || '").replace("\x07", "' || chr(7) || '") + "'"
 BASE = f"(SELECT doc_id, text || {_SQL_NOISE} AS s FROM documents)"
 TITLES = "(SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'Chapter ' || doc_id || ': The Great River' WHEN 1 THEN doc_id || '. Getting Started' WHEN 2 THEN 'Summary' WHEN 3 THEN '1.2 Title \"quoted\": part/one' WHEN 4 THEN 'Section ' || doc_id WHEN 5 THEN 'Über die  Brücke (neu)' WHEN 6 THEN 'appendix' ELSE doc_id || ' Rivers And Roads' END AS s FROM documents)"
 
@@ -54,12 +54,17 @@ def _lit(x: str) -> str:
 
 
 _PAGE = "|".join(f"(?:{p})" for p in t.PAGE_LINES)
-_STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
-_LLM_WS = _STRIP.replace("{}", r"regexp_replace(regexp_replace(regexp_replace({}, '[ \t]+', ' ', 'g'), ' +\n', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g')")
+_SPACE = "\\t\\r\\f\\v \u0085   -     　"
+_STRIP = rf"regexp_replace({{}}, '^[{_SPACE}\n]+|[{_SPACE}\n]+$', '', 'g')"
+_LLM_WS = _STRIP.replace("{}", rf"regexp_replace(regexp_replace(regexp_replace({{}}, '[{_SPACE}]+', ' ', 'g'), ' +\n', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')")
 _PAGES_OUT = "array_to_string(list_filter(string_split({}, chr(10)), lambda x: NOT regexp_matches(x, '" + _PAGE + "')), chr(10))"
-_MARKUP = "regexp_replace(replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '&#\\d+;', '', 'g')"
+_MARKUP = "regexp_replace(replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#\\d+;', '', 'g')"
 _CONTROL = r"regexp_replace({}, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g')"
-_BASIC_WS = _STRIP.replace("{}", r"array_to_string(list_transform(string_split(regexp_replace(regexp_replace({}, '[^\S\n]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), chr(10)), lambda x: trim(x)), chr(10))")
+_BASIC_WS = _STRIP.replace("{}", rf"array_to_string(list_transform(string_split(regexp_replace(regexp_replace({{}}, '[{_SPACE}]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), chr(10)), lambda x: trim(x)), chr(10))")
+_LLM_CONTROL = r"regexp_replace({}, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x{9F}\p{Cf}\p{Co}]', '', 'g')"
+#: The compatibility forms of what NOISE holds; the documents are composed already.
+_NFKC = _sql_replace("nfc_normalize({})", {"ﬁ": "fi", "…": "...", "\u00a0": " ", "\u2003": " "})
+_BARE = "array_to_string(list_transform(string_split({}, chr(10)), lambda x, i: CASE WHEN i > 600 AND regexp_matches(x, '^\\s*\\d+\\s*$') THEN '' ELSE x END), chr(10))"
 _Q = _sql_replace("{}", t.QUOTES)
 _LIG = _sql_replace("{}", t.LIGATURES)
 _SYM = _sql_replace("{}", t.SYMBOLS)
@@ -72,9 +77,9 @@ def _nest(*steps: str) -> str:
     return out
 
 
-_LLM = _nest("regexp_replace({}, '<[^>]+>', '', 'g')", _LIG, _Q, _sql_replace("{}", t.LLM_DASHES), _SYM, r"regexp_replace({}, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g')", _PAGES_OUT, _LLM_WS)
+_LLM = _nest(_NFKC, "regexp_replace({}, '<[^>]+>', '', 'g')", _LIG, _Q, _sql_replace("{}", t.LLM_DASHES), _SYM, _LLM_CONTROL, _PAGES_OUT, _LLM_WS)
 _EMBED = _STRIP.replace(
-    "{}", f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_LLM}, '\\*\\*([^*]+)\\*\\*', '\\1', 'g'), '\\*([^*]+)\\*', '\\1', 'g'), '`([^`]+)`', '\\1', 'g'), '(?m)^#+\\s*', '', 'g'), 'https?://\\S+', '', 'g'), '\\S+@\\S+\\.\\S+', '', 'g')"
+    "{}", f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_LLM}, '\\*\\*(.+?)\\*\\*', '\\1', 'g'), '\\*(.+?)\\*', '\\1', 'g'), '`(.+?)`', '\\1', 'g'), '(?m)^#+\\s*', '', 'g'), 'https?://\\S+', '', 'g'), '\\S+@\\S+\\.\\S+', '', 'g')"
 )
 
 
@@ -87,21 +92,36 @@ def _scalar(name: str, f, sql: str, source=_noisy, base: str = BASE) -> tuple:
 
 
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.col("s")
-    d = _noisy(spark, sf_dir).withColumn("clean", t.clean_llm(s, normalize=False))
-    saved = F.length("s") - F.length("clean")
-    return d.select(
-        "doc_id",
-        F.regexp_count(s, F.lit("<[^>]+>")).alias("n_tags"),
-        t.count_chars(s, "".join(t.QUOTES)).alias("n_quotes"),
-        t.count_chars(s, "".join(t.LLM_DASHES)).alias("n_dashes"),
-        saved.alias("chars_saved"),
-        F.round(F.when(F.length("s") == 0, 0.0).otherwise(saved * 100.0 / F.length("s")), 6).alias("reduction_pct"),
-    )
+    return t.clean_llm_with_stats(_noisy(spark, sf_dir), "s").drop("s", "clean").withColumn("reduction_percent", F.round("reduction_percent", 6))
+
+
+def _stats_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.clean_basic_with_stats(_noisy(spark, sf_dir), "s").drop("s", "clean")
+
 
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.clean_llm_with_stats(_noisy(spark, sf_dir), "s").select("doc_id", t.cleaning_report().alias("report"))
 
-def _count_sql(table: dict[str, str]) -> str:
-    return f"(length(s) - length(translate(s, '{''.join(table)}', '')))::INTEGER"
+
+def _count_sql(table: dict[str, str], of: str) -> str:
+    return f"(length({of}) - length(translate({of}, '{''.join(table)}', '')))::INTEGER"
+
+
+_STEPS = (
+    f"WITH a AS (SELECT doc_id, s, {_nest(_NFKC)} AS s1 FROM {BASE} b), h AS (SELECT *, regexp_replace(s1, '<[^>]+>', '', 'g') AS s2 FROM a), m AS (SELECT *, {_nest(_LIG, _Q, _sql_replace('{}', t.LLM_DASHES), _SYM)} AS s3 FROM (SELECT * EXCLUDE (s), s AS s0, s2 AS s FROM h)), "
+    f"c AS (SELECT * EXCLUDE (s), s3 AS s FROM m), d AS (SELECT *, {_nest(_LLM_CONTROL)} AS s4 FROM c), p AS (SELECT * EXCLUDE (s), s4 AS s FROM d), q AS (SELECT *, {_nest(_PAGES_OUT)} AS s5 FROM p), r AS (SELECT * EXCLUDE (s), s5 AS s FROM q), w AS (SELECT *, {_nest(_LLM_WS)} AS clean FROM r), "
+    f"o AS (SELECT doc_id, length(s0)::INTEGER AS original_length, length(clean)::INTEGER AS cleaned_length, abs(length(s1) - length(s0))::INTEGER AS unicode_normalizations, len(regexp_extract_all(s1, '<[^>]+>'))::INTEGER AS html_tags_removed, {_count_sql(t.LIGATURES, 's2')} AS ligatures_expanded, {_count_sql(t.QUOTES, 's2')} AS smart_quotes_replaced, (length(s3) - length(s4))::INTEGER AS control_chars_removed, (len(string_split(s4, chr(10))) - len(list_filter(string_split(s4, chr(10)), lambda x: NOT regexp_matches(x, '{_PAGE}'))))::INTEGER AS page_numbers_removed, (length(s5) - length(clean))::INTEGER AS whitespace_normalized, (length(s0) - length(clean))::INTEGER AS bytes_saved, (length(s0) - length(clean)) * 100.0::DOUBLE / length(s0) AS reduction_percent FROM w)"
+)
+_STEPS_BASIC = (
+    f"WITH a AS (SELECT doc_id, s AS s0, {_nest(_MARKUP)} AS s1 FROM {BASE} b), c AS (SELECT *, {_NFKC.replace('{}', 's1')} AS s FROM a), d AS (SELECT *, s AS s2, {_nest(_Q, _sql_replace('{}', t.BASIC_DASHES))} AS s3 FROM c), e AS (SELECT * EXCLUDE (s), s3 AS s FROM d), f AS (SELECT *, {_nest(_CONTROL)} AS s4 FROM e), g AS (SELECT * EXCLUDE (s), s4 AS s FROM f) "
+    f"SELECT doc_id, length(s0)::INTEGER AS original_length, length({_nest(_BARE, _BASIC_WS)})::INTEGER AS final_length, (length(s0) - length(s1))::INTEGER AS markup_removed, {_count_sql(t.QUOTES, 's2')} AS quotes_normalized, {_count_sql(t.BASIC_DASHES, 's2')} AS dashes_normalized, (length(s3) - length(s4))::INTEGER AS control_chars_removed FROM g"
+)
+_REPORT = " || ".join(
+    [
+        "'Text Cleaning Report' || chr(10) || '====================' || chr(10) || 'Original length: ' || format('{:,}', original_length) || ' chars' || chr(10) || 'Cleaned length:  ' || format('{:,}', cleaned_length) || ' chars' || chr(10) || 'Bytes saved:     ' || format('{:,}', bytes_saved) || ' (' || printf('%.1f', reduction_percent) || '%)' || chr(10) || chr(10) || 'Changes:' || chr(10)",
+        *[f"'- {label:<24}' || {column} || chr(10)" for label, column in (("Unicode normalizations:", "unicode_normalizations"), ("Smart quotes replaced:", "smart_quotes_replaced"), ("HTML tags removed:", "html_tags_removed"), ("Control chars removed:", "control_chars_removed"), ("Ligatures expanded:", "ligatures_expanded"), ("Page numbers removed:", "page_numbers_removed"), ("Whitespace normalized:", "whitespace_normalized"))],
+    ]
+)
 
 
 def _html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +148,7 @@ def _titles_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, "doc_id").select("doc_id", t.titles_match(F.col("s"), F.col("other")).alias("same"))
 
 
-_WORDS = "list_filter(regexp_split_to_array({}, '\\s+'), lambda w: w <> '')"
+_WORDS = "list_filter(regexp_split_to_array({}, '[" + _SPACE + "\\n]+'), lambda w: w <> '')"
 CATALOG = dict(
     [
         _scalar("fn_word_count", t.word_count, f"len({_WORDS.format('s')})::INTEGER"),
@@ -140,7 +160,7 @@ CATALOG = dict(
         _scalar("llm_ligatures", t.ligatures, _nest(_LIG)),
         _scalar("llm_symbols", t.symbols, _nest(_SYM)),
         _scalar("basic_control", t.basic_control, _nest(_CONTROL)),
-        _scalar("llm_control", t.llm_control, _nest(_CONTROL)),
+        _scalar("llm_control", t.llm_control, _nest(_LLM_CONTROL)),
         _scalar("basic_strip_markup", t.basic_strip_markup, _nest(_MARKUP)),
         _scalar("llm_strip_html", t.llm_strip_html, "regexp_replace(s, '<[^>]+>', '', 'g')"),
         _scalar(
@@ -153,19 +173,15 @@ CATALOG = dict(
         _scalar("llm_whitespace", t.llm_whitespace, _nest(_LLM_WS)),
         _scalar(
             "clean_basic",
-            lambda s: t.clean_basic(s, normalize=False, page_numbers=False),
-            _nest(_MARKUP, _Q, _sql_replace("{}", t.BASIC_DASHES), _CONTROL, _BASIC_WS),
-        ),
-        _scalar("clean_llm", lambda s: t.clean_llm(s, normalize=False), _LLM),
-        _scalar("clean_for_embedding", lambda s: t.clean_for_embedding(s, normalize=False), _EMBED),
-        ("llm_nfkc", (_of(_noisy, t.nfkc), "")),
-        (
-            "cleaning_stats",
-            (
-                _stats,
-                f"SELECT doc_id, len(regexp_extract_all(s, '<[^>]+>'))::INTEGER AS n_tags, {_count_sql(t.QUOTES)} AS n_quotes, {_count_sql(t.LLM_DASHES)} AS n_dashes, (length(s) - length({_LLM}))::INTEGER AS chars_saved, round((length(s) - length({_LLM})) * 100.0::DOUBLE / length(s), 6) AS reduction_pct FROM {BASE} b",
-            ),
+            t.clean_basic,
+            _nest(_MARKUP, _NFKC, _Q, _sql_replace("{}", t.BASIC_DASHES), _CONTROL, _BARE, _BASIC_WS),
         ),
+        _scalar("clean_llm", t.clean_llm, _LLM),
+        _scalar("clean_for_embedding", t.clean_for_embedding, _EMBED),
+        _scalar("llm_nfkc", t.nfkc, _nest(_NFKC)),
+        ("cleaning_stats", (_stats, f"{_STEPS} SELECT * REPLACE (round(reduction_percent, 6) AS reduction_percent) FROM o")),
+        ("cleaning_stats_basic", (_stats_basic, _STEPS_BASIC)),
+        ("cleaning_report", (_report, f"{_STEPS} SELECT doc_id, {_REPORT} AS report FROM o")),
         _scalar("fn_escape_yaml", t.escape_yaml, "replace(replace(s, '\"', '\\\"'), chr(10), ' ')", _titles, TITLES),
         _scalar("fn_sanitize_filename", t.sanitize_filename, "substr(lower(regexp_replace(regexp_replace(regexp_replace(s, '[^\\p{L}\\p{N}_\\s\\-.]', '', 'g'), '\\s+', '-', 'g'), '-+', '-', 'g')), 1, 100)", _titles, TITLES),
         _scalar("fn_normalize_for_matching", t.normalize_for_matching, "trim(lower(regexp_replace(regexp_replace(s, '[-–—:]', ' ', 'g'), '\\s+', ' ', 'g')))", _titles, TITLES),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lines as ln
 from ..functions.text import normalize_title, word_count
-from .splitting import fixed_slices
+from .splitting import fixed_slices, part_series, quality_resplit
 
 # Fixed values of anchor selection.
 HIGH, MEDIUM, LOW = 0.7, 0.4, 0.3
@@ -80,14 +80,16 @@ def drop_odd_sizes(chapters: DataFrame, least: int = MIN_WORDS, most: int = MAX_
 def detect_chapters(books: DataFrame, least: int = MIN_WORDS, most: int = MAX_WORDS) -> DataFrame:
     """(book_id, chapter_number, title, content, word_count, method) of every book.
 
-    By anchors where the book has any that leave chapters, else in fixed slices.
-    ``books`` has (book_id, text).
+    By anchors where the book has any that leave chapters which are no degenerate
+    result, else in fixed slices. ``books`` has (book_id, text).
     """
     table = ln.lines(books)
     sizes = books.select("book_id", word_count(F.col("text")).alias("words"))
     anchors = select_anchors(ln.candidates(table), sizes)
     found = ln.anchor_contents(table, anchors).withColumn("word_count", word_count(F.col("content")))
-    found = drop_odd_sizes(found, least, most).select("book_id", "line_index", "title", "content", "word_count", F.lit("anchors").alias("method"))
+    found = drop_odd_sizes(found, least, most)
+    found = found.join(degenerate(found, sizes).filter("degenerate").select("book_id"), "book_id", "left_anti")
+    found = found.select("book_id", "line_index", "title", "content", "word_count", F.lit("anchors").alias("method"))
     rest = books.join(found.select("book_id").distinct(), "book_id", "left_anti")
     slices = fixed_slices(rest.select("book_id", "text"), SECTION_WORDS)
     fixed = slices.select("book_id", F.col("section_number").alias("line_index"), F.col("section_title").alias("title"), "content", F.col("section_words").alias("word_count"), F.lit("fixed").alias("method"))
@@ -95,6 +97,26 @@ def detect_chapters(books: DataFrame, least: int = MIN_WORDS, most: int = MAX_WO
     return found.unionByName(fixed).select("book_id", n.alias("chapter_number"), "title", "content", "word_count", "method")
 
 
+#: Words under which a chapter counts as tiny; fixed value.
+TINY = 100
+
+
+def degenerate(chapters: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(book_id, chapters, tiny, captured, degenerate) of the books with chapters.
+
+    A result is degenerate where it has several chapters, over half of them
+    tiny, and holds less than half of the book's words.
+    """
+    g = chapters.groupBy("book_id").agg(F.count("*").alias("chapters"), F.count_if(F.col("word_count") < TINY).alias("tiny"), F.sum("word_count").alias("captured"))
+    bad = (F.col("chapters") > 1) & (F.col("tiny") * 2 > F.col("chapters")) & (F.col("captured") * 2 < F.col("words"))
+    return g.join(sizes, "book_id").select("book_id", "chapters", "tiny", "captured", bad.alias("degenerate"))
+
+
+def detect_all(books: DataFrame, least: int = MIN_WORDS, most: int = MAX_WORDS) -> DataFrame:
+    """``detect_chapters`` held to the bounds of ``quality_resplit``."""
+    return quality_resplit(detect_chapters(books, least, most))
+
+
 def diagnostics(candidates: DataFrame, anchors: DataFrame) -> DataFrame:
     """(book_id, counts, issues): how sure the detection was, and what speaks against it."""
     x = F.col("confidence")
@@ -110,12 +132,3 @@ def diagnostics(candidates: DataFrame, anchors: DataFrame) -> DataFrame:
         )
     )
     return j.withColumn("issues", F.array_join(issues, ";"))
-
-
-def part_series(chapters: DataFrame) -> DataFrame:
-    """Number again the titles that end in "(part k)", each root title from 1."""
-    root = F.regexp_replace("title", r"\s*\(part \d+\)$", "")
-    t = chapters.withColumn("__root", root).withColumn("__parts", F.max((F.col("__root") != F.col("title")).cast("int")).over(Window.partitionBy("book_id", root)))
-    k = F.row_number().over(Window.partitionBy("book_id", "__root").orderBy("chapter_number"))
-    title = F.when((F.col("__parts") == 0) | (k == 1), F.col("__root")).otherwise(F.concat("__root", F.lit(" (part "), k, F.lit(")")))
-    return t.withColumn("title", title).drop("__root", "__parts")

@@ -6,10 +6,13 @@ sequential state stays in Catalyst, and books are folded in parallel.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import chapter_number, is_subsection_title
+from ..functions.folds import cut_at, group_starts
+from ..functions.text import chapter_number, is_subsection_title, strip
 
 SMALL, TARGET_LOW, TARGET_HIGH, TOO_LARGE = 2000, 3000, 15000, 25000
 
@@ -47,18 +50,10 @@ def sizes_of(chapters: DataFrame) -> DataFrame:
     return chapters.groupBy("book_id").agg(F.array_sort(F.collect_list(one)).alias("chapters"))
 
 
-def _fold(items: Column, take: callable) -> Column:
-    """Left fold into groups of (first, last, words); ``take(group, x)`` joins x."""
-    empty = F.array().cast("array<struct<first:int,last:int,words:long>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        grown = F.struct(last["first"].alias("first"), x["n"].alias("last"), (last["words"] + x["w"]).alias("words"))
-        new = F.struct(x["n"].alias("first"), x["n"].alias("last"), x["w"].alias("words"))
-        joined = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))
-        return F.when((F.size(acc) > 0) & take(last, x), joined).otherwise(F.concat(acc, F.array(new)))
-
-    return F.aggregate(items, empty, step)
+def _fold(items: Column, takes: Callable[[Column, Column], Column]) -> Column:
+    """Left fold into groups of (first, last, words); ``takes(words, w)``: a group takes the next chapter."""
+    groups = cut_at(items, group_starts(F.transform(items, lambda x: x["w"]), takes))
+    return F.transform(groups, lambda g: F.struct(g[0]["n"].alias("first"), F.element_at(g, -1)["n"].alias("last"), F.aggregate(g, F.lit(0).cast("long"), lambda s, x: s + x["w"]).alias("words")))
 
 
 def merge_small(chapters: DataFrame, low: int = 3000, high: int = 15000) -> DataFrame:
@@ -66,7 +61,7 @@ def merge_small(chapters: DataFrame, low: int = 3000, high: int = 15000) -> Data
     takes the next, up to ``high`` together. Where too few would be left the book
     stays as it is.
     """
-    folded = sizes_of(chapters).withColumn("merged", _fold(F.col("chapters"), lambda g, x: (g["words"] < low) & (g["words"] + x["w"] <= high)))
+    folded = sizes_of(chapters).withColumn("merged", _fold(F.col("chapters"), lambda held, w: (held < low) & (held + w <= high)))
     total = F.aggregate("chapters", F.lit(0).cast("long"), lambda s, x: s + x["w"])
     least = F.greatest(F.lit(2), F.floor(total / high))
     same = F.transform("chapters", lambda x: F.struct(x["n"].alias("first"), x["n"].alias("last"), x["w"].alias("words")))
@@ -77,7 +72,7 @@ def merge_small(chapters: DataFrame, low: int = 3000, high: int = 15000) -> Data
 
 def pack(chapters: DataFrame, limit: int) -> DataFrame:
     """Greedy packing of chapters in order: a pack takes the next while it fits."""
-    folded = sizes_of(chapters).select("book_id", _fold(F.col("chapters"), lambda g, x: g["words"] + x["w"] <= limit).alias("p"))
+    folded = sizes_of(chapters).select("book_id", _fold(F.col("chapters"), lambda held, w: held + w <= limit).alias("p"))
     out = folded.select("book_id", F.posexplode("p").alias("i", "c"))
     return out.select("book_id", (F.col("i") + 1).alias("pack"), F.col("c.first").alias("first_chapter"), F.col("c.last").alias("last_chapter"), F.col("c.words").alias("word_count"))
 
@@ -148,3 +143,75 @@ def auto_merge(chapters: DataFrame, target: int = 8000, least: float = 0.2) -> D
         return pd.DataFrame(rows, columns=["book_id", "chapter_number", "first_chapter", "last_chapter", "title", "word_count"])
 
     return chapters.select("book_id", "chapter_number", "title", "word_count").groupBy("book_id").applyInPandas(run, schema)
+
+
+#: Least score of a merge, the mean that merges work towards, and the words that one merge brings; fixed values.
+LEAST_SCORE, IDEAL_WORDS, WORDS_A_MERGE = 0.3, 8000, 2000
+_GAP = "\n\n---\n\n"
+
+
+def chosen_merges(chapters: DataFrame, most: int | None = None, least: float = LEAST_SCORE) -> DataFrame:
+    """(book_id, first, second): positions from 0 of the neighbours to merge, each chapter in one pair at most.
+
+    By falling score, and then position. Without ``most`` as many of the best
+    candidates are looked at as might bring the book's mean to IDEAL_WORDS, or
+    all where it is there. Those that meet a pair taken before are left out.
+    """
+    order = Window.partitionBy("book_id").orderBy("chapter_number")
+    t = chapters.select("book_id", "chapter_number", "title", "word_count").withColumn("at", F.row_number().over(order) - 1)
+    c = merge_candidates(t).filter(F.col("score") >= least).join(t.select("book_id", "chapter_number", "at"), ["book_id", "chapter_number"])
+    sizes = t.groupBy("book_id").agg(F.count("*").alias("n"), F.avg("word_count").alias("mean"))
+    one = F.struct((-F.col("score")).alias("k"), "at")
+    b = c.groupBy("book_id").agg(F.array_sort(F.collect_list(one)).alias("c")).join(sizes, "book_id")
+    if most is None:
+        needed = ((IDEAL_WORDS - F.col("mean")) / WORDS_A_MERGE * F.col("n") / 2).cast("int")
+        looked = F.when(F.col("mean") < IDEAL_WORDS, F.greatest(F.lit(1), F.least(needed, F.size("c")))).otherwise(F.size("c"))
+    else:
+        looked = F.lit(most)
+    empty = F.array().cast("array<int>")
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.when(F.exists(acc, lambda a: F.abs(a - x["at"]) <= 1), acc).otherwise(F.concat(acc, F.array(x["at"])))
+
+    taken = F.aggregate(F.slice("c", 1, looked), empty, step)
+    return b.select("book_id", F.explode(taken).alias("first")).withColumn("second", F.col("first") + 1)
+
+
+def merged_title(first: Column, second: Column) -> Column:
+    """The first title, if it is a chapter's own; else both."""
+    own = (F.coalesce(chapter_number(first), F.lit(0)) != 0) | ((F.coalesce(first, F.lit("")) != "") & ~is_subsection_title(first))
+    return F.when(F.coalesce(own, F.lit(False)), first).otherwise(F.concat(F.coalesce(first, F.lit("")), F.lit(" + "), F.coalesce(second, F.lit(""))))
+
+
+def merge_chapters(chapters: DataFrame, most: int | None = None, least: float = LEAST_SCORE) -> DataFrame:
+    """Chapters (book_id, chapter_number, title, word_count, content) with the chosen pairs merged.
+
+    (book_id, chapter_number, title, content, word_count, merged_from): numbered
+    anew, ``merged_from`` has the two titles of a merged chapter.
+    """
+    order = Window.partitionBy("book_id").orderBy("chapter_number")
+    t = chapters.withColumn("at", F.row_number().over(order) - 1)
+    pairs = chosen_merges(chapters, most, least)
+    t = t.join(pairs.select("book_id", F.col("second").alias("at"), F.lit(1).alias("joins")), ["book_id", "at"], "left")
+    t = t.withColumn("group", F.col("at") - F.coalesce("joins", F.lit(0)))
+    one = F.struct("at", "title", "content", F.col("word_count").cast("long").alias("word_count"))
+    g = t.groupBy("book_id", "group").agg(F.array_sort(F.collect_list(one)).alias("l"))
+    a, b = F.get("l", F.lit(0)), F.get("l", F.lit(1))
+    two, left, right = F.size("l") == 2, strip(F.coalesce(a["content"], F.lit(""))), F.coalesce(b["content"], F.lit(""))
+    content = F.when(two, F.concat(left, F.when((left != "") & (right != ""), _GAP).otherwise(""), strip(right))).otherwise(a["content"])
+    return g.select(
+        "book_id",
+        F.row_number().over(Window.partitionBy("book_id").orderBy("group")).alias("chapter_number"),
+        F.when(two, merged_title(a["title"], b["title"])).otherwise(a["title"]).alias("title"),
+        content.alias("content"),
+        F.when(two, a["word_count"] + b["word_count"]).otherwise(a["word_count"]).alias("word_count"),
+        F.when(two, F.array(F.coalesce(a["title"], F.lit("")), F.coalesce(b["title"], F.lit("")))).alias("merged_from"),
+    )
+
+
+def merge_summary(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(book_id, original_count, merged_count, merges_performed, quality_improvement): by how much the mean has grown."""
+    a = before.groupBy("book_id").agg(F.count("*").alias("original_count"), F.avg("word_count").alias("__a"))
+    b = after.groupBy("book_id").agg(F.count("*").alias("merged_count"), F.avg("word_count").alias("__b"))
+    j = a.join(b, "book_id")
+    return j.select("book_id", "original_count", "merged_count", (F.col("original_count") - F.col("merged_count")).alias("merges_performed"), (F.col("__b") - F.col("__a")).alias("quality_improvement"))

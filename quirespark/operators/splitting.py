@@ -49,6 +49,9 @@ HEADERS = (
 )
 #: Estimated tokens of a section; fixed value.
 MAX_TOKENS = 15000
+#: What a book's chapters are held to: fewest chapters, most words of one, and of
+#: one against the median; and the least words to split at. Fixed values.
+FEWEST_CHAPTERS, MOST_CHAPTER_WORDS, MOST_TO_MEDIAN, LEAST_SPLIT = 7, 20000, 4.0, 500
 
 
 def fixed_slices(chapters: DataFrame, size: int = 2500, text: str = "text") -> DataFrame:
@@ -60,7 +63,7 @@ def fixed_slices(chapters: DataFrame, size: int = 2500, text: str = "text") -> D
     return t.select(*[c for c in chapters.columns if c != text], n.alias("section_number"), F.concat(F.lit("Section "), n).alias("section_title"), F.size(part).alias("section_words"), F.array_join(part, " ").alias("content"))
 
 
-def balanced_slices(w: Column, limit: int) -> Column:
+def balanced_slices(w: Column, limit: int | Column) -> Column:
     """Slices of nearly equal size of an array of words, none above ``limit``."""
     n = F.size(w)
     parts = F.floor((n + limit - 1) / limit)
@@ -68,18 +71,18 @@ def balanced_slices(w: Column, limit: int) -> Column:
     return F.when(n <= limit, F.array(w)).otherwise(F.transform(F.sequence(F.lit(0), n - 1, size), lambda at: F.slice(w, at + 1, size)))
 
 
-def _pack(items: Column, weight: Callable[[Column], Column], limit: int, joiner: str) -> Column:
+def _pack(items: Column, weight: Callable[[Column], Column], limit: int | Column, joiner: str) -> Column:
     """Greedy packs of strings in order, as structs of text and weight."""
     return F.transform(greedy(items, weight, limit), lambda g: F.struct(F.array_join(g, joiner).alias("t"), F.aggregate(g, F.lit(0), lambda n, x: n + weight(x).cast("int")).alias("n")))
 
 
-def resplit(chapters: DataFrame, limit: int, text: str = "text") -> DataFrame:
+def resplit(chapters: DataFrame, limit: int | Column, text: str = "text") -> DataFrame:
     """Chapters above ``limit`` words, split at blank lines and packed again.
 
     A paragraph above the limit is cut into balanced slices; part k > 1 of a
     title ends in "(part k)".
     """
-    paragraphs = F.filter(F.transform(F.split(text, r"\n\s*\n"), F.trim), lambda p: p != "")
+    paragraphs = F.filter(F.transform(F.split(text, r"\n(?U:\s)*\n"), strip), lambda p: p != "")
     bounded = F.flatten(F.transform(paragraphs, lambda p: F.when(F.size(words(p)) <= limit, F.array(p)).otherwise(F.transform(balanced_slices(words(p), limit), lambda s: F.array_join(s, " ")))))
     t = chapters.withColumn("__p", bounded).withColumn("__packs", _pack(F.col("__p"), lambda p: F.size(words(p)), limit, "\n\n"))
     whole = F.array(F.struct(F.col(text).alias("t"), F.size(words(F.col(text))).alias("n")))
@@ -88,6 +91,55 @@ def resplit(chapters: DataFrame, limit: int, text: str = "text") -> DataFrame:
     return t.select(*[c for c in t.columns if c not in ("i", "x", "title")], title.alias("title"), (F.col("i") + 1).alias("part"), F.col("x.n").alias("word_count"), F.col("x.t").alias("content"))
 
 
+def quality_resplit(chapters: DataFrame, text: str = "content", fewest: int = FEWEST_CHAPTERS, most: int = MOST_CHAPTER_WORDS, ratio: float = MOST_TO_MEDIAN) -> DataFrame:
+    """Chapters (book_id, chapter_number, title, text) split until their sizes are in bounds.
+
+    (book_id, chapter_number, title, content, word_count). Three rounds, each of
+    three steps: chapters above ``most`` words are split; where a book has under
+    ``fewest``, its largest ones are split at half of that until the count would
+    do; chapters of over ``ratio`` times the median are split at twice the median.
+    A round that changes nothing leaves nothing to the next. Windows run by book,
+    and a book stays where it is throughout.
+    """
+    book = Window.partitionBy("book_id")
+    t = chapters.select("book_id", F.array(F.col("chapter_number").cast("int")).alias("path"), "title", F.col(text).alias("content"), F.size(words(F.coalesce(text, F.lit("")))).alias("word_count"))
+
+    def split(t: DataFrame, where: Column, limit: Column | int) -> DataFrame:
+        bound = F.when(where, F.lit(limit) if isinstance(limit, int) else limit).otherwise(F.lit((1 << 31) - 2)).cast("int")
+        parts = resplit(t.withColumn("__limit", bound), F.col("__limit"), "content")
+        return parts.select("book_id", F.concat("path", F.array("part")).alias("path"), "title", "content", "word_count")
+
+    for _ in range(3):
+        t = split(t, F.col("word_count") > most, most)
+        half = most // 2
+        large = F.col("word_count") > half
+        more = F.when(large, F.greatest(F.lit(2), F.floor(F.col("word_count") / half)) - 1).otherwise(0)
+        before = Window.partitionBy("book_id").orderBy(F.col("word_count").desc(), "path").rowsBetween(Window.unboundedPreceding, -1)
+        t = t.withColumn("__count", F.count("*").over(book) + F.coalesce(F.sum(more).over(before), F.lit(0)))
+        t = split(t, large & (F.col("__count") < fewest), half)
+        t = t.withColumn("__median", F.median(F.when(F.col("word_count") > 0, F.col("word_count"))).over(book)).withColumn("__n", F.count("*").over(book))
+        outlier = (F.col("__n") >= 2) & (F.col("__median") > 0) & (F.col("word_count") > F.col("__median") * ratio)
+        t = split(t, F.coalesce(outlier, F.lit(False)), F.greatest(F.lit(LEAST_SPLIT), F.floor(F.col("__median") * 2)).cast("int"))
+    number = F.row_number().over(Window.partitionBy("book_id").orderBy("path"))
+    t = t.select("book_id", number.alias("chapter_number"), "title", "content", "word_count")
+    return part_series(t)
+
+
+def fallback_split(books: DataFrame, text: str = "text", size: int = 2500) -> DataFrame:
+    """Books (book_id, text) in fixed slices, held to the bounds of ``quality_resplit``."""
+    slices = fixed_slices(books.select("book_id", text), size, text)
+    return quality_resplit(slices.select("book_id", F.col("section_number").alias("chapter_number"), F.col("section_title").alias("title"), "content"))
+
+
+def part_series(chapters: DataFrame) -> DataFrame:
+    """Number again the titles that end in "(part k)", each root title from 1."""
+    root = F.regexp_replace("title", r"(?: \(part \d+\))+$", "")
+    t = chapters.withColumn("__root", root).withColumn("__parts", F.max((F.col("__root") != F.col("title")).cast("int")).over(Window.partitionBy("book_id", "__root")))
+    k = F.row_number().over(Window.partitionBy("book_id", "__root").orderBy("chapter_number"))
+    title = F.when((F.col("__parts") == 0) | (k == 1), F.col("__root")).otherwise(F.concat("__root", F.lit(" (part "), k, F.lit(")")))
+    return t.withColumn("title", title).drop("__root", "__parts")
+
+
 def sentence_packs(chapters: DataFrame, limit: int, text: str = "text") -> DataFrame:
     """Packs of whole sentences of at most ``limit`` estimated tokens, where they fit."""
     parts = F.filter(sentences(F.col(text)), lambda s: s != "")
@@ -203,7 +255,7 @@ def pieces(text: Column, limit: int, separators: tuple[tuple[str, str], ...] = S
 
         def level(p: Column) -> Column:  # called before the loop goes on
             pattern, separator = regex, kind
-            parts = F.filter(F.split(F.regexp_replace(p["t"], f"({pattern})", f"{_MARK}$1"), _MARK), lambda x: x != "")
+            parts = F.filter(F.split(F.regexp_replace(p["t"], f"(?U)({pattern})", f"{_MARK}$1"), _MARK), lambda x: x != "")
             of = p["kind"] if separator == "word" else F.lit(separator)
             cut = F.transform(parts, lambda x: F.struct(x.alias("t"), of.alias("kind")))
             return F.when((size(p["t"]) <= limit) | (F.size(parts) < 2), F.array(p)).otherwise(cut).cast(_PIECE)

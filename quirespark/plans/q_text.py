@@ -54,7 +54,8 @@ def _lit(x: str) -> str:
 
 
 _PAGE = "|".join(f"(?:{p})" for p in t.PAGE_LINES)
-_SPACE = "\\t\\r\\f\\v \u0085   -     　"
+#: White space in Unicode's sense but for the line end, as a class of a regular expression.
+_SPACE = r"\t\r\f\v " + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _STRIP = rf"regexp_replace({{}}, '^[{_SPACE}\n]+|[{_SPACE}\n]+$', '', 'g')"
 _LLM_WS = _STRIP.replace("{}", rf"regexp_replace(regexp_replace(regexp_replace({{}}, '[{_SPACE}]+', ' ', 'g'), ' +\n', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')")
 _PAGES_OUT = "array_to_string(list_filter(string_split({}, chr(10)), lambda x: NOT regexp_matches(x, '" + _PAGE + "')), chr(10))"

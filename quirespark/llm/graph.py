@@ -35,6 +35,11 @@ def _smallest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.min("v").alias("m")).select(unplaced("u"), F.least("u", "m").alias("m"))
 
 
+def _two(df: DataFrame, a: Column, b: Column) -> DataFrame:
+    """Both edges of every row; a union would part what one task holds."""
+    return df.select(F.explode(F.array(a, b)).alias("x")).select("x.u", "x.v")
+
+
 def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node that has an edge; component is the smallest id.
 
@@ -49,14 +54,14 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
         if state[0] <= ONE_TASK:  # exchanges would take longer than the work
             e = e.coalesce(1)
         # large star: neighbours above a node go to the smallest around it
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = _two(e, F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
         m = _smallest(both).withColumnRenamed("u", "w")
         large = both.join(m, F.col("u") == F.col("w")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: a node and its neighbours below go to the smallest of these
         m = _smallest(large).withColumnRenamed("u", "w")
         joined = large.join(m, F.col("u") == F.col("w"))
-        small = joined.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
-        past, e = e, checkpoint(small.select("x.u", "x.v").filter("u <> v").distinct())
+        small = _two(joined, F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        past, e = e, checkpoint(small.filter("u <> v").distinct())
         release(past)
         now = _state(e)
         if now == state:
@@ -76,8 +81,8 @@ def shared_buckets(members: DataFrame) -> DataFrame:
     """
     keys = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("key")
     keys = checkpoint(keys)
-    some = prefilter(members, "key", keys, "key").select("key", "id").distinct()
-    out = checkpoint(some.join(keys.select(unplaced("key")), "key"))
+    some = prefilter(members, "key", keys, "key").select("key", "id")
+    out = checkpoint(some.join(keys.select(unplaced("key")), "key").distinct())
     release(keys)
     return out
 
@@ -113,8 +118,8 @@ def bucket_components(
     divided by ``further(level)``, arrays of keys that linked members are likely
     to share one of, again and again (LEVELS times at most). So comparisons grow with the
     members of a bucket, not with their square, and no pair is made that isn't
-    ``close``, a condition on the columns of ``traits`` (a function of (id) that
-    returns (id, ...)) of both sides.
+    ``close``, a condition on the columns of ``traits`` (a function of a table of (id) that
+    returns one of (id, ...)) of both sides.
     """
     centre = buckets.groupBy("key").agg(F.min(F.struct(F.col("id").bitwiseXOR(F.col("key")).alias("x"), "id")).alias("c"))
     first = buckets.join(centre.select(unplaced("key"), F.col("c.id").alias("other")), "key").filter("id <> other")
@@ -131,7 +136,7 @@ def bucket_components(
     if rest.isEmpty():
         return components(edges, "a", "b") if not edges.isEmpty() else None
     ids = checkpoint(rest.select("id").distinct())
-    known = checkpoint(traits(ids))
+    known = traits(ids)
 
     several = rest.join(known, "id")
     others = several.filter(F.pmod(F.xxhash64("key", "id"), F.ceil(F.col("members") / CENTRES)) == 0)

@@ -1,7 +1,9 @@
 """Line tables: splitting, code detection, windows and heading candidates.
 
 A line table has (book_id, line_index, line). Every context test is a window
-over a book's lines, so a book is the unit of parallel work.
+over the lines around a line. Windows run within blocks of BLOCK lines, each with
+HALO lines of its neighbours, so that a book of any length is worked on by many
+tasks.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ CODE_LINES = (
     r"^\s*(?:def|class|import|from|if|for|while|return|async|await)\s",
     r"^\s*(?:function|const|let|var|import|export|if|for|while|return)\s",
 )
+# Characters of code, and the share of them that is too many for prose.
 CODE_CHARS = "()[]{}=<>|&;:'\"\\/@#$%^*+-"
 CODE_DENSITY = 0.15
 #: Headings that name their kind, and numbered ones.
@@ -52,6 +55,26 @@ TOC_ENTRIES = (
 )
 
 
+#: Lines of a block, and those around it that windows may look at: 49 at most.
+BLOCK, HALO = 4096, 64
+
+
+def _blocks(line_table: DataFrame) -> DataFrame:
+    """Each line with its block, and once more for each neighbour that it stands near to."""
+    at = F.col("line_index")
+    b, r = F.floor(at / BLOCK).cast("int"), at % BLOCK
+    of = F.array_compact(F.array(b, F.when((r < HALO) & (b > 0), b - 1), F.when(r >= BLOCK - HALO, b + 1)))
+    return line_table.withColumn("__block", F.explode(of))
+
+
+def _own(blocks: DataFrame) -> DataFrame:
+    return blocks.filter(F.col("__block") == F.floor(F.col("line_index") / BLOCK)).drop("__block")
+
+
+def _by_block() -> Window:
+    return Window.partitionBy("book_id", "__block").orderBy("line_index")
+
+
 def lines(books: DataFrame, text: str = "text") -> DataFrame:
     return books.select("book_id", F.posexplode(F.split(text, "\n")).alias("line_index", "line"))
 
@@ -87,12 +110,17 @@ def code_regions(line_table: DataFrame, gap: int = 2, smallest: int = 2) -> Data
 
 
 def in_code(line_table: DataFrame) -> DataFrame:
-    """Add in_code_block, from the run that a line falls into (no range join).
+    """Add in_code_block, from the run that a line falls into (no range join)."""
+    return _own(_in_code(_blocks(line_table)))
+
+
+def _in_code(line_table: DataFrame) -> DataFrame:
+    """``in_code`` on blocks; code further away than 2 lines doesn't matter.
 
     A line lies within a region when the run of the code lines before it goes on
     with the code line after it, and the region is large enough.
     """
-    w = _by_book()
+    w = _by_block()
     before = w.rowsBetween(Window.unboundedPreceding, 0)
     after = w.rowsBetween(0, Window.unboundedFollowing)
     code = F.when(is_code_line(F.col("line")), F.col("line_index"))
@@ -108,7 +136,11 @@ def in_code(line_table: DataFrame) -> DataFrame:
 
 def context(line_table: DataFrame) -> DataFrame:
     """Add preceded_by_blank, followed_by_prose and nearby_similar_lines."""
-    w = _by_book()
+    return _own(_context(_blocks(line_table)))
+
+
+def _context(line_table: DataFrame) -> DataFrame:
+    w = _by_block()
     t = line_table.withColumn("__stripped", F.trim("line"))
     numbered = F.when(F.col("__stripped").rlike(r"^\d+[.\s]"), 1).otherwise(0)
     t = t.withColumn("__numbered", numbered).withColumn("__words", word_count(F.col("line")))
@@ -133,9 +165,8 @@ def score(kind: Column, code: Column, blank: Column, prose: Column, similar: Col
 
 def candidates(line_table: DataFrame) -> DataFrame:
     """Scored heading candidates: lines of 3 to 100 characters of a known kind."""
-    w = _by_book()
-    t = context(in_code(line_table)).withColumn("__s", F.trim("line")).withColumn("__next", F.trim(F.lead("line").over(w)))
-    t = t.filter(F.length("__s").between(3, 100)).withColumn("match_type", match_type(F.col("__s"))).filter("match_type IS NOT NULL")
+    t = _context(_in_code(_blocks(line_table))).withColumn("__s", F.trim("line")).withColumn("__next", F.trim(F.lead("line").over(_by_block())))
+    t = _own(t).filter(F.length("__s").between(3, 100)).withColumn("match_type", match_type(F.col("__s"))).filter("match_type IS NOT NULL")
     standalone = F.col("__s").rlike(r"^CHAPTER\s+\d+$") & (F.length("__next") > 3) & F.col("__next").rlike(r"^[A-Z]")
     t = t.withColumn("title", F.when(standalone, F.concat_ws(": ", "__s", "__next")).otherwise(F.col("__s")))
     t = t.withColumn("confidence", score(F.col("match_type"), F.col("in_code_block"), F.col("preceded_by_blank"), F.col("followed_by_prose"), F.col("nearby_similar_lines")))

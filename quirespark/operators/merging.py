@@ -131,14 +131,17 @@ def auto_merge(chapters: DataFrame, target: int = 8000, least: float = 0.2) -> D
             s = 0.3 * (a[3] < small) + 0.3 * (b[3] < small) + 0.25 * bool(subsection.match(b[2].strip())) + 0.2 * bool(x and y and y != x + 1) + 0.1 * (low <= both <= high)
             return min(1.0, s)
 
-        while len(all_) > 1 and sum(c[3] for c in all_) / len(all_) < target:
-            scores = [score(a, b) for a, b in zip(all_, all_[1:])]
-            i = max(range(len(scores)), key=lambda k: (round(scores[k], 9), -k))
+        total = sum(c[3] for c in all_)  # merges don't change it
+        scores = [round(score(a, b), 9) for a, b in zip(all_, all_[1:])]
+        while len(all_) > 1 and total / len(all_) < target:
+            i = max(range(len(scores)), key=lambda k: (scores[k], -k))
             if scores[i] < least:
                 break
             a, b = all_[i], all_[i + 1]
             title = a[2] if number(a[2]) or not subsection.match(a[2].strip()) else f"{a[2]} + {b[2]}"
             all_[i : i + 2] = [[a[0], b[1], title, a[3] + b[3]]]
+            # only the scores with the neighbours are others now
+            scores[max(0, i - 1) : i + 2] = [round(score(all_[k], all_[k + 1]), 9) for k in range(max(0, i - 1), min(i + 1, len(all_) - 1))]
         rows = [(book, k + 1, *c) for k, c in enumerate(all_)]
         return pd.DataFrame(rows, columns=["book_id", "chapter_number", "first_chapter", "last_chapter", "title", "word_count"])
 

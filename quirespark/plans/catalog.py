@@ -10,10 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_library, q_lines, q_split, q_stream, q_text
+from . import q_library, q_lines, q_more, q_split, q_stream, q_text
 
 Query = Callable[[SparkSession, str], DataFrame]
-_PARTS = (q_library, q_text, q_lines, q_split, q_stream)
+_PARTS = (q_library, q_text, q_lines, q_split, q_more, q_stream)
 
 
 def queries() -> dict[str, Query]:

@@ -166,7 +166,7 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def win_adjacent_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return semantic.similarities(_vectors(spark, sf_dir))
+    return semantic.similarities(_vectors(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
 
 
 def detect_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,8 +175,8 @@ def detect_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_nearest_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents")
-    chapters = d.filter("doc_id % 3 = 0").select(F.col("source").alias("book_id"), (F.col("doc_id") * 7).alias("line_index"))
-    bounds = d.filter("doc_id % 5 = 1").select(F.col("source").alias("book_id"), (F.col("doc_id") * 7 + 2).alias("line_index"))
+    chapters = d.select(F.col("source").alias("book_id"), (F.col("doc_id") * 7).alias("line_index"))
+    bounds = d.select(F.col("source").alias("book_id"), (F.col("doc_id") * 5 + 2).alias("line_index"))
     return semantic.nearest_boundary(chapters, bounds)
 
 
@@ -266,7 +266,7 @@ CATALOG = {
     "detect_boundaries": (detect_boundaries, f"SELECT book_id, position, round(c, 6) < quantile_cont(round(c, 6), 0.1) OVER (PARTITION BY book_id) AS is_significant FROM ({_COS}) WHERE nx IS NOT NULL"),
     "join_nearest_boundary": (
         join_nearest_boundary,
-        "WITH c AS (SELECT source AS book_id, doc_id * 7 AS line_index FROM documents WHERE doc_id % 3 = 0), b AS (SELECT source AS book_id, doc_id * 7 + 2 AS bl FROM documents WHERE doc_id % 5 = 1) SELECT c.book_id, c.line_index, arg_min(bl, (abs(c.line_index - bl), bl)) AS boundary_line, min(abs(c.line_index - bl)) AS distance FROM c LEFT JOIN b ON b.book_id = c.book_id GROUP BY 1, 2",
+        "WITH c AS (SELECT source AS book_id, doc_id * 7 AS line_index FROM documents), b AS (SELECT source AS book_id, doc_id * 5 + 2 AS bl FROM documents) SELECT c.book_id, c.line_index, arg_min(bl, (abs(c.line_index - bl), bl)) AS boundary_line, min(abs(c.line_index - bl)) AS distance FROM c LEFT JOIN b ON b.book_id = c.book_id GROUP BY 1, 2",
     ),
     "heuristic_confidence": (
         heuristic_confidence,

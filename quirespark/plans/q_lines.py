@@ -6,7 +6,7 @@ of each document of a source, with page numbers and shell lines added.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lines as ln
@@ -25,7 +25,8 @@ BOOKS = f"(SELECT source AS book_id, string_agg({_CHAPTER}, chr(10) ORDER BY doc
 LINES = f"(SELECT book_id, unnest(range(len(l))) AS line_index, unnest(l) AS line FROM (SELECT book_id, string_split(text, chr(10)) AS l FROM {BOOKS} b))"
 
 
-def books(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(book_id, doc_id, c): the text that a document gives its book."""
     d = read(spark, sf_dir, "documents")
     i = F.col("doc_id")
     extra = [
@@ -34,12 +35,22 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 11 == 0, F.concat(i, F.lit(". Numbered Heading Here\n"))).otherwise(""),
     ]
     chapter = F.concat(F.lit("Chapter "), i, F.lit(": Topic "), i, F.lit("\n\n"), F.col("text"), F.lit("\n"), *extra)
-    ordered = F.array_sort(F.collect_list(F.struct("doc_id", chapter.alias("c"))))
-    return d.groupBy(F.col("source").alias("book_id")).agg(F.array_join(F.transform(ordered, lambda x: x["c"]), "\n").alias("text"))
+    return d.select(F.col("source").alias("book_id"), "doc_id", chapter.alias("c"))
+
+
+def books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = F.array_sort(F.collect_list(F.struct("doc_id", "c")))
+    return _chapters(spark, sf_dir).groupBy("book_id").agg(F.array_join(F.transform(ordered, lambda x: x["c"]), "\n").alias("text"))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ln.lines(books(spark, sf_dir))
+    """The lines of ``books``, numbered by what comes before their document; no text is gathered."""
+    c = _chapters(spark, sf_dir)
+    before = Window.partitionBy("book_id").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    # of a book's documents only the numbers of their lines stand in one window
+    starts = c.select("book_id", "doc_id", F.size(F.split("c", "\n")).alias("n")).select("doc_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    t = c.join(starts, "doc_id").select("book_id", "start", F.posexplode(F.split("c", "\n")).alias("i", "line"))
+    return t.select("book_id", (F.col("start") + F.col("i")).cast("int").alias("line_index"), "line")
 
 
 def _key(df: DataFrame) -> DataFrame:
@@ -82,7 +93,7 @@ def win_line_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def win_anchor_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _lines(spark, sf_dir)
-    anchors = table.filter(F.col("line").rlike(r"^Chapter \d+: Topic")).filter(F.col("line_index") > 20).select("book_id", "line_index", F.col("line").alias("title"))
+    anchors = table.filter(F.col("line").rlike(r"^Chapter \d+: Topic")).select("book_id", "line_index", F.col("line").alias("title"))
     c = ln.anchor_contents(table, anchors)
     return c.select("book_id", "line_index", "title", F.length("content").alias("n_chars"), F.sha2("content", 256).alias("content_hash"))
 
@@ -136,6 +147,6 @@ CATALOG = {
     "win_line_offset": (win_line_offset, f"SELECT book_id, line_index::INTEGER AS line_index, coalesce(sum(length(line) + 1) OVER (PARTITION BY book_id ORDER BY line_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS char_offset FROM {LINES} l"),
     "win_anchor_content": (
         win_anchor_content,
-        f"WITH l AS (SELECT * FROM {LINES} l), a AS (SELECT book_id, line_index, line AS title, lead(line_index) OVER (PARTITION BY book_id ORDER BY line_index) AS nx FROM l WHERE line_index > 20 AND regexp_matches(line, '^Chapter \\d+: Topic')), c AS (SELECT a.book_id, a.line_index, a.title, coalesce(string_agg(l.line, chr(10) ORDER BY l.line_index), '') AS content FROM a LEFT JOIN l ON l.book_id = a.book_id AND l.line_index > a.line_index AND (a.nx IS NULL OR l.line_index < a.nx) GROUP BY 1, 2, 3) SELECT book_id, line_index::INTEGER AS line_index, title, length(content)::INTEGER AS n_chars, sha256(content) AS content_hash FROM c",
+        f"WITH l AS (SELECT * FROM {LINES} l), a AS (SELECT book_id, line_index, line AS title, lead(line_index) OVER (PARTITION BY book_id ORDER BY line_index) AS nx FROM l WHERE regexp_matches(line, '^Chapter \\d+: Topic')), c AS (SELECT a.book_id, a.line_index, a.title, coalesce(string_agg(l.line, chr(10) ORDER BY l.line_index), '') AS content FROM a LEFT JOIN l ON l.book_id = a.book_id AND l.line_index > a.line_index AND (a.nx IS NULL OR l.line_index < a.nx) GROUP BY 1, 2, 3) SELECT book_id, line_index::INTEGER AS line_index, title, length(content)::INTEGER AS n_chars, sha256(content) AS content_hash FROM c",
     ),
 }

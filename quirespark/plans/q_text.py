@@ -213,7 +213,7 @@ CATALOG = dict(
                 _render,
                 "WITH r AS (SELECT d.doc_id, lpad((d.doc_id % 100)::VARCHAR, 2, '0') || '-part-one-the-start.md' AS file_name, '---' || chr(10) || 'title: \"' || replace(b.s, '\"', '\\\"') || '\"' || chr(10) || 'chapter: ' || d.doc_id || chr(10) || 'tokens: ' || (length(d.text) // 4) || chr(10) || 'words: ' || len("
                 + _WORDS.format("d.text")
-                + f") || chr(10) || '---' || chr(10) || chr(10) || '# ' || b.s || chr(10) || chr(10) || d.text AS body FROM documents d JOIN {TITLES} b ON d.doc_id = b.doc_id) SELECT doc_id, file_name, body, sha256(body) AS content_hash FROM r",
+                + f") || chr(10) || '---' || chr(10) || chr(10) || '# ' || b.s || chr(10) || chr(10) || '**Chapter ' || d.doc_id || '** | *' || format('{{:,}}', len(" + _WORDS.format("d.text") + f")) || ' words* | *~' || format('{{:,}}', length(d.text) // 4) || ' tokens*' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || d.text AS body FROM documents d JOIN {TITLES} b ON d.doc_id = b.doc_id) SELECT doc_id, file_name, body, sha256(body) AS content_hash FROM r",
             ),
         ),
     ]

@@ -10,17 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpoint, prefilter, release, unplaced
 
 #: Edges that one task handles; more are dealt out.
-ONE_TASK = 100_000
+ONE_TASK = 200_000
 #: Centres of a bucket in the second round.
 CENTRES = 8
-#: Members of a bucket that are compared with all others of it.
-SMALL = 256
 #: Times that a larger bucket is divided by further keys.
 LEVELS = 3
 
@@ -30,9 +28,16 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _smallest(pairs: DataFrame) -> DataFrame:
-    """For each u the smallest of u and its v, in a form to be joined by u."""
-    return pairs.groupBy("u").agg(F.min("v").alias("m")).select(unplaced("u"), F.least("u", "m").alias("m"))
+def _with_smallest(edges: DataFrame, few: bool) -> DataFrame:
+    """Each edge with ``m``, the smallest of u and all its v.
+
+    By a window within one task for few edges, which needs no exchange; else
+    by an aggregation and a join, so that a node of very many edges can be split.
+    """
+    if few:
+        return edges.withColumn("m", F.least("u", F.min("v").over(Window.partitionBy("u"))))
+    m = edges.groupBy("u").agg(F.min("v").alias("m")).select(unplaced("u"), F.least("u", "m").alias("m")).withColumnRenamed("u", "w")
+    return edges.join(m, F.col("u") == F.col("w"))
 
 
 def _two(df: DataFrame, a: Column, b: Column) -> DataFrame:
@@ -47,22 +52,22 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     an edge to itself alone gives no row. ``edges`` is read more than once.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v")
-    state = _state(e)
+    state, table = _state(e), None
     for _ in range(max_rounds):
         if not state[0]:
             break
-        if state[0] <= ONE_TASK:  # exchanges would take longer than the work
-            e = e.coalesce(1)
+        few = state[0] <= ONE_TASK
+        e = e.coalesce(1) if few else e  # exchanges would take longer than the work
         # large star: neighbours above a node go to the smallest around it
-        both = _two(e, F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
-        m = _smallest(both).withColumnRenamed("u", "w")
-        large = both.join(m, F.col("u") == F.col("w")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        both = _with_smallest(_two(e, F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))), few)
+        large = both.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: a node and its neighbours below go to the smallest of these
-        m = _smallest(large).withColumnRenamed("u", "w")
-        joined = large.join(m, F.col("u") == F.col("w"))
+        joined = _with_smallest(large, few)
         small = _two(joined, F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
-        past, e = e, checkpoint(small.filter("u <> v").distinct())
-        release(past)
+        past, table = table, checkpoint(small.filter("u <> v").distinct())
+        if past is not None:
+            release(past)
+        e = table
         now = _state(e)
         if now == state:
             break
@@ -105,6 +110,7 @@ def bucket_components(
     traits: Callable[[DataFrame], DataFrame],
     close: Callable[[str, str], Column],
     further: Callable[[int], Column],
+    small: int,
 ) -> DataFrame | None:
     """(node, component) of the nodes linked within buckets; None if there are none.
 
@@ -114,7 +120,7 @@ def bucket_components(
     contracted. In buckets that still hold several components, members are
     compared with CENTRES others or so, at random, and contracted once more,
     which leaves those that are linked with few or none. These are compared across
-    components: with all in a bucket of up to SMALL members; larger buckets are
+    components: with all in a bucket of up to ``small`` members; larger buckets are
     divided by ``further(level)``, arrays of keys that linked members are likely
     to share one of, again and again (LEVELS times at most). So comparisons grow with the
     members of a bucket, not with their square, and no pair is made that isn't
@@ -147,12 +153,12 @@ def bucket_components(
     rest, pairs = left(components(edges, "a", "b")), None
     for level in range(LEVELS + 1):
         several = rest.join(known, "id")
-        here = several if level == LEVELS else several.filter(F.col("members") <= SMALL)
+        here = several if level == LEVELS else several.filter(F.col("members") <= small)
         made = _across(here, here, F.col("x.label") < F.col("y.label"), close)
         pairs = made if pairs is None else pairs.unionByName(made)
-        if level == LEVELS or rest.filter(F.col("members") > SMALL).isEmpty():
+        if level == LEVELS or rest.filter(F.col("members") > small).isEmpty():
             break
-        split = several.filter(F.col("members") > SMALL).select("id", "label", F.posexplode(further(level)).alias("i", "more"), F.col("key").alias("old"))
+        split = several.filter(F.col("members") > small).select("id", "label", F.posexplode(further(level)).alias("i", "more"), F.col("key").alias("old"))
         rest = checkpoint(_several(split.select(F.xxhash64("old", "i", "more").alias("key"), "id", "label")))
     edges = checkpoint(edges.unionByName(verify(checkpoint(pairs.distinct()))))
     return components(edges, "a", "b") if not edges.isEmpty() else None

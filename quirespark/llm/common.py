@@ -96,6 +96,17 @@ def unplaced(key: str) -> Column:
     return F.col(key).bitwiseXOR(F.lit(0).cast("long")).alias(key)
 
 
+def fresh(df: DataFrame, *stems: str) -> list[str]:
+    """Column names like ``stems`` that ``df`` doesn't have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for s in stems:
+        while s.lower() in taken:
+            s += "_"
+        taken.add(s.lower())
+        out.append(s)
+    return out
+
+
 #: Bits of a filter of ids, whatever their number.
 SLOTS = 1 << 23
 

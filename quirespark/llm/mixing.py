@@ -32,7 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, checkpoint
+from .common import WORD, checkpoint, fresh
 from .prefix import before
 
 
@@ -138,10 +138,11 @@ def passes(docs: DataFrame, params: Mix = PRODUCTION) -> DataFrame:
     A document that the end of its source's demand falls into is taken whole.
     Rows that share an id are taken alike: as often as the one taken most.
     """
+    id_, positions, at = fresh(docs, "__id", "__positions", "__at")
     most = F.max(F.struct(F.size("positions").alias("n"), "positions"))
-    taken = mix(docs, params).filter("taken > 0").groupBy(F.col("doc_id").alias("__id")).agg(most["positions"].alias("__positions"))
-    out = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("__id"))).withColumn("__at", F.explode("__positions"))
-    return out.repartitionByRange("__at", "__id").sortWithinPartitions("__at", "__id").drop("__id", "__positions", "__at")
+    taken = mix(docs, params).filter("taken > 0").groupBy(F.col("doc_id").alias(id_)).agg(most["positions"].alias(positions))
+    out = docs.join(taken, docs["doc_id"].eqNullSafe(F.col(id_))).withColumn(at, F.explode(positions))
+    return out.repartitionByRange(at, id_).sortWithinPartitions(at, id_).drop(id_, positions, at)
 
 
 ORACLE = r"""

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from quirespark.llm import line_dedup, minhash, pieces, quality_model
 
 
@@ -85,3 +86,21 @@ def test_pipeline_matches_plain_stages(spark, tmp_path):
     want = sorted((i, len(sp.encode(docs[i] or "")), hashlib.sha256(sp.decode(sp.encode(docs[i] or "")).encode()).hexdigest()) for i, n in times.items() for _ in range(n))
     got = sorted((r.doc_id, r.n_tokens, r.decoded_sha256) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert got == want
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null ids and texts, repeated rows, clashing names; and no rows at all."""
+    line = "The river and the stone of the light, and the garden in the morning, number"
+    text = lambda k: "\n".join(f"{line} {k} {j}, that is {k * 7 + j} in all, with {j * k} left over for the end." for j in range(5))
+    rows = [(None, text(1), None), (1, None, "a"), (2, "", "a"), (3, text(2), "a"), (3, text(2), "a"), (4, text(2), "b"), (5, text(3), "b")]
+    df = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df = df.withColumn("position", F.lit(1)).withColumn("votes", F.lit("x")).withColumn("__id", F.lit(2)).withColumn("gone", F.lit(3))
+    for k, d in enumerate((df, df.filter("false"))):
+        d.write.parquet(str(tmp_path / str(k) / "documents.parquet"))
+        got = corpus_pipeline.run(spark, str(tmp_path / str(k))).collect()
+        assert {r.doc_id for r in got} <= {None, 1, 2, 3, 4, 5}
+        assert k == 0 or got == []
+    docs = df
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == df.columns

@@ -266,6 +266,30 @@ def test_classifier_on_held_out_labels(spark, sf_dir):
     assert sum(r.kept == bool(r.quality) for r in rows) >= 0.9 * len(rows)
 
 
+def test_classifier_replaces_columns_of_its_own_names(odd):
+    clash = odd.withColumn("votes", F.lit(3)).withColumn("kept", F.lit("k")).withColumn("score", F.lit("s")).withColumn("h", F.lit("h")).withColumn("slots", F.lit(0))
+    got = quality_model.classify(clash).collect()
+    assert len(got) == 9 and {r.h for r in got} == {"h"}
+    assert {type(r.kept) for r in got} == {bool} and {type(r.score) for r in got} == {float}
+    by = {}
+    for r in got:
+        by.setdefault(r.text, set()).add((r.votes, r.score))
+    assert all(len(v) == 1 for v in by.values())
+
+
+def test_classifier_of_a_single_pattern(spark):
+    rows = [(i, " ".join(f"The {a}{b} of {b}{a} is in the light." for a, b in zip("bcdfghklmn", "aeioueaeio")), "a") for i in range(5)]
+    assert [r.kept for r in quality_model.classify(docs(spark, rows)).collect()] == [True] * 5
+
+
+def test_chat_renders_very_long_turns(spark):
+    long = LONG * 30
+    df = spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", ""), (2, 0, "user", long)], "conv_id long, turn long, role string, text string")
+    got = chat.chat_format(df).collect()
+    assert [(r.conv_id, r.n_logs) for r in got] == [(1, 1)]
+    assert got[0].text == f"<|im_start|>user\n{long}<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n"
+
+
 def test_classifier_odd_rows(odd, none):
     got = quality_model.classify(odd.drop("ids", "bands", "media")).collect()
     assert len(got) == 9

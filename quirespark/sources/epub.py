@@ -21,6 +21,10 @@ _ITEM = "struct<spine_index:int,href:string,text:string>"
 SCHEMA = f"path string, source_hash string, title string, author string, language string, spine array<{_ITEM}>, toc array<{_ENTRY}>, error string"
 
 
+#: Bytes of an item, unpacked, beyond which a file is an error.
+MAX_ITEM = 256 << 20
+
+
 def _local(tag: str) -> str:
     return tag.rpartition("}")[2]
 
@@ -60,9 +64,42 @@ def _nav_points(node, base: str, depth: int, out: list) -> None:
         _nav_points(p, base, depth + 1, out)
 
 
+def _nav_list(node, base: str, depth: int, out: list) -> None:
+    """Entries of the nested lists of an EPUB 3 navigation document."""
+    for item in (c for c in node if _local(c.tag) == "li"):
+        label = next((c for c in item if _local(c.tag) in ("a", "span")), None)
+        if label is not None:
+            path, _, anchor = label.get("href", "").partition("#")
+            title = " ".join("".join(label.itertext()).split())
+            if title:
+                out.append({"title": title, "href": _resolve(base, path), "anchor": anchor, "depth": depth})
+        for inner in (c for c in item if _local(c.tag) == "ol"):
+            _nav_list(inner, base, depth + 1, out)
+
+
+def _nav(page: bytes, base: str) -> list[dict]:
+    out: list[dict] = []
+    for nav in (e for e in ElementTree.fromstring(page).iter() if _local(e.tag) == "nav"):
+        if any(_local(k) == "type" and v == "toc" for k, v in nav.attrib.items()):
+            for inner in (c for c in nav if _local(c.tag) == "ol"):
+                _nav_list(inner, base, 0, out)
+    return out
+
+
+class _Archive(zipfile.ZipFile):
+    def read(self, name, pwd=None):
+        if self.getinfo(name).file_size > MAX_ITEM:
+            raise ValueError(f"{name} is larger than {MAX_ITEM} bytes")
+        return super().read(name, pwd)
+
+
 def read_epub(data: bytes) -> dict:
-    """Metadata, spine and table of contents of one file."""
-    z = zipfile.ZipFile(io.BytesIO(data))
+    """Metadata, spine and table of contents of one file.
+
+    The contents come from the NCX file or, without entries there, from the
+    navigation document of EPUB 3. Several creators are joined by commas.
+    """
+    z = _Archive(io.BytesIO(data))
     names = z.namelist()
     opf = None
     if "META-INF/container.xml" in names:
@@ -81,7 +118,11 @@ def read_epub(data: bytes) -> dict:
         for e in ElementTree.fromstring(z.read(ncx)).iter():
             if _local(e.tag) == "navMap":
                 _nav_points(e, ncx.rpartition("/")[0], 0, toc)
-    return {"title": _first(root, "title"), "author": _first(root, "creator"), "language": _first(root, "language"), "spine": spine, "toc": toc}
+    page = next((_resolve(base, e.get("href", "")) for e in root.iter() if _local(e.tag) == "item" and "nav" in e.get("properties", "").split()), None)
+    if not toc and page in names:
+        toc = _nav(z.read(page), page.rpartition("/")[0])
+    creators = [e.text.strip() for e in root.iter() if _local(e.tag) == "creator" and e.text and e.text.strip()]
+    return {"title": _first(root, "title"), "author": ", ".join(creators) or None, "language": _first(root, "language"), "spine": spine, "toc": toc}
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -113,6 +154,17 @@ def spine_items(books: DataFrame) -> DataFrame:
     return s.withColumn("line_offset", F.coalesce(F.sum(n).over(w), F.lit(0)))
 
 
+def combined_text(books: DataFrame) -> DataFrame:
+    """(source_hash, text): the spine's texts in order, with a blank line between."""
+    return books.select("source_hash", F.array_join(F.transform(F.array_sort("spine"), lambda s: s["text"]), "\n\n").alias("text"))
+
+
+def toc_titles(books: DataFrame, skip: str = r"(?i)^introduction$") -> DataFrame:
+    """(source_hash, titles): titles of the contents in order, without front and back matter and what ``skip`` matches."""
+    t = F.filter("toc", lambda e: ~should_skip_title(e["title"]) & ~F.trim(e["title"]).rlike(skip) & (F.trim(e["title"]) != ""))
+    return books.select("source_hash", F.transform(t, lambda e: F.trim(e["title"])).alias("titles"))
+
+
 def split_points(books: DataFrame) -> DataFrame:
     """Entries of the table of contents joined with the spine, without front and back matter.
 

@@ -38,7 +38,19 @@ def books_of_files(spark: SparkSession, path: str, pattern: str = "*.txt") -> Da
     """Text files of a folder tree as books: (path, book_id, text), by lower-case name."""
     files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("wholetext", "true").text(path)
     name = F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+$", 0)
-    return files.select(F.col("_metadata.file_path").alias("path"), name.alias("name"), F.sha2("value", 256).alias("book_id"), F.col("value").alias("text"))
+    found = files.select(F.col("_metadata.file_path").alias("path"), name.alias("name"), F.sha2("value", 256).alias("book_id"), F.col("value").alias("text"))
+    return found.orderBy(F.lower("name"), "path")
+
+
+def files_of(spark: SparkSession, paths: list[str], patterns: tuple[str, ...] = ("*.pdf", "*.epub")) -> DataFrame:
+    """(path, name, length, modificationTime) of the files below the folders, each once, by lower-case name; nothing is read."""
+    out = None
+    for p in paths:
+        for pattern in patterns:
+            f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(p).select("path", "length", "modificationTime")
+            out = f if out is None else out.unionByName(f)
+    out = out.dropDuplicates(["path"]).withColumn("name", F.regexp_extract("path", r"[^/]+$", 0))
+    return out.select("path", "name", "length", "modificationTime").orderBy(F.lower("name"), "path")
 
 
 def binary_books(spark: SparkSession, path: str, extract, pattern: str = "*") -> DataFrame:

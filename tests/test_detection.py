@@ -91,3 +91,32 @@ def test_epub(spark, tmp_path):
     points = epub.split_points(good)
     assert sorted((r.title, r.anchor, r.depth) for r in points.collect()) == [("One", "s", 0), ("Section 2", "", 0), ("Sub", "q", 1)]
     assert sorted(r.title for r in epub.chapter_depth(points).collect()) == ["One", "Section 2"]
+
+
+def test_epub_navigation_document(spark, tmp_path):
+    z = io.BytesIO()
+    with zipfile.ZipFile(z, "w") as f:
+        f.writestr("META-INF/container.xml", '<container><rootfiles><rootfile full-path="O/c.opf"/></rootfiles></container>')
+        f.writestr("O/c.opf", '<package xmlns:dc="d"><metadata><dc:title>T</dc:title><dc:creator>A B</dc:creator><dc:creator>C D</dc:creator></metadata><manifest><item id="n" href="nav.xhtml" media-type="application/xhtml+xml" properties="nav"/><item id="a" href="a.xhtml" media-type="application/xhtml+xml"/><item id="b" href="b.xhtml" media-type="application/xhtml+xml"/></manifest><spine><itemref idref="a"/><itemref idref="b"/></spine></package>')
+        f.writestr("O/nav.xhtml", '<html xmlns:epub="e"><body><nav epub:type="toc"><ol><li><a href="a.xhtml">One <b>more</b></a><ol><li><a href="a.xhtml#x">Inner</a></li></ol></li><li><a href="b.xhtml">Introduction</a></li></ol></nav></body></html>')
+        f.writestr("O/a.xhtml", "<p>first</p>")
+        f.writestr("O/b.xhtml", "<p>second</p>")
+    (tmp_path / "three.epub").write_bytes(z.getvalue())
+    books = epub.scan(spark, str(tmp_path))
+    r = books.first()
+    assert r.author == "A B, C D"
+    assert [(e.title, e.href, e.anchor, e.depth) for e in r.toc] == [("One more", "O/a.xhtml", "", 0), ("Inner", "O/a.xhtml", "x", 1), ("Introduction", "O/b.xhtml", "", 0)]
+    assert epub.combined_text(books).first().text == "first\n\nsecond"
+    assert epub.toc_titles(books).first().titles == ["One more", "Inner"]
+
+
+def test_files_come_once_and_by_name(spark, tmp_path):
+    from quirespark.sources import tables
+
+    (tmp_path / "in").mkdir()
+    for n in ("b.epub", "A.pdf", "in/c.epub", "x.txt"):
+        (tmp_path / n).write_bytes(b"1")
+    assert [r.name for r in tables.files_of(spark, [str(tmp_path), str(tmp_path / "in")]).collect()] == ["A.pdf", "b.epub", "c.epub"]
+    assert [r.name for r in tables.books_of_files(spark, str(tmp_path)).collect()] == ["x.txt"]
+    got = tables.binary_books(spark, str(tmp_path), lambda b: b.decode() * 2, "*.epub").collect()
+    assert [r.text for r in got] == ["11", "11"]

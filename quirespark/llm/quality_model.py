@@ -90,20 +90,31 @@ def signals(text: str | None) -> dict[str, float]:
     n = max(1, len(words))
     lines = [x for x in text.split("\n") if x.strip()]
     short = sum(len(x.split()) < 3 for x in lines)
-    letters = sum(map(str.isalpha, text))
     ends = len(_ENDS.findall(text)) / n
-    low = [w.lower() for w in words]
+    letters = small = functions = 0
+    seen = set()
+    for w in words:  # most are letters between stops, and need no look at each character
+        w = w.strip(".,;:!?")
+        low = w.lower()
+        seen.add(low)
+        functions += low in FUNCTION_WORDS
+        if w.isalpha():
+            letters += len(w)
+            small += len(w) if w == low else sum(map(str.islower, w))
+        else:
+            letters += sum(map(str.isalpha, w))
+            small += sum(map(str.islower, w))
     out = {
         "marks": len(_MARKS.findall(text)) / n,
         "bars": text.count("|") / n,
         "repeats": repeated(text.encode("utf-8", "surrogatepass").split()) / n,
         "shouting": max(sum(1 for w in words if len(w) > 1 and w.isupper()) / n / 0.4, text.count("!!") / n / 0.2),
         "short_lines": short / len(lines) if len(lines) >= 4 else nan,
-        "few_function_words": 1 - sum(1 for w in low if w.strip(".,;:!?") in FUNCTION_WORDS) / n,
+        "few_function_words": 1 - functions / n,
         "signs": 1 - letters / max(1, sum(map(len, words))),
-        "capitals": 1 - sum(map(str.islower, text)) / max(1, letters),
+        "capitals": 1 - small / max(1, letters),
         "sentences": min(3.0, abs(log(ends * 12))) if ends else 3.0,
-        "sameness": 1 - len(set(low)) / n,
+        "sameness": 1 - len(seen) / n,
     }
     if len(words) < LEAST_WORDS:
         out |= {k: nan for k in ("few_function_words", "signs", "capitals", "sentences", "sameness")}
@@ -123,7 +134,7 @@ def _hash(text: str) -> int:
 
 class _Slots(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 17:
             self.clear()
         x = self[word] = 64 + _hash(word) % (DIM - 64)
         return x

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lines import EXPLICIT_TYPE, PATTERN, TOC
-from ..operators import anchors, metadata, semantic, storage
+from ..operators import anchors, library, metadata, reports, semantic, storage
 from ..sources.tables import document_chapters, read
 
 
@@ -210,6 +210,47 @@ def join_anchor_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.resolve_lines(a, d).select("book_id", "line_index")
 
 
+def penalties_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    d = read(spark, sf_dir, "documents").select(i, (i % 2 == 0).alias("in_code_block"), (i % 3 == 0).alias("preceded_by_blank"), (i % 5 == 0).alias("followed_by_prose"), (i % 4).alias("nearby_similar_lines"))
+    return d.select("doc_id", F.array_join(reports.penalties(), "; ").alias("penalties"))
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = library.profile(document_chapters(spark, sf_dir))
+    return p.withColumn("quality_score", (F.col("total_words") % 100).cast("int")).withColumn("metadata", F.lit(0.75)).withColumn("warnings", F.array(F.lit("one"), F.lit("two"))).withColumn("info", F.array().cast("array<string>"))
+
+
+def quality_report_md(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.quality_report(_scored(spark, sf_dir))
+
+
+def is_valid_needs_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _scored(spark, sf_dir).withColumn("warnings", F.when(F.col("total_words") % 3 == 0, F.col("warnings")).otherwise(F.col("info")))
+    f = reports.flags(s.withColumn("validation_valid", F.col("total_words") % 5 != 0).withColumn("confidence", (F.col("total_words") % 10) / 10))
+    return f.select("book_id", "is_valid", "needs_review")
+
+
+def validator_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as chapters with a hundred times their words."""
+    c = document_chapters(spark, sf_dir).withColumn("word_count", F.col("word_count") * 100)
+    e = c.groupBy("book_id").agg((F.count("*") + F.length("book_id") - 3).alias("expected_chapters"))
+    m = reports.validation_messages(c, e)
+    return m.select("book_id", "expected_chapters", "actual_chapters", F.array_join("warnings", "; ").alias("warnings"), F.array_join("errors", "; ").alias("errors"), "is_valid", F.array_join("recommendations", "; ").alias("recommendations"))
+
+
+def sort_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.worst_first(_scored(spark, sf_dir), 75).select("book_id", "quality_score")
+
+
+def sort_problematic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.problematic(library.profile(document_chapters(spark, sf_dir))).select("book_id", "total_chapters")
+
+
+def sink_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.library_json(_scored(spark, sf_dir).select("book_id", "quality_score", "total_words"))
+
+
 _CH = "(SELECT source AS book_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n, doc_id, text, CASE doc_id % 3 WHEN 0 THEN 'Chapter ' || row_number() OVER (PARTITION BY source ORDER BY doc_id) || ': Topic ' || doc_id WHEN 1 THEN 'Section ' || row_number() OVER (PARTITION BY source ORDER BY doc_id) ELSE 'Summary' END AS title, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> ''))::INTEGER AS w FROM documents)"
 _BC = "(SELECT o_custkey AS book_id, o_orderkey AS chapter_number, floor(o_totalprice / 20)::INTEGER AS word_count FROM orders)"
 _SEC = f"(SELECT book_id, ((n - 1) // 3 + 1)::INTEGER AS c, 'Part ' || ((n - 1) // 3 + 1) AS parent, ((n - 1) % 3 + 1)::INTEGER AS s, title, w * 2 AS tokens, w FROM {_CH})"
@@ -280,4 +321,17 @@ CATALOG = {
     "win_sequential_chain": (win_sequential_chain, f"SELECT book_id, n::INTEGER AS number, (n * 3)::INTEGER AS line_index, title FROM {_CH} c WHERE n < 7 AND (SELECT count(*) FROM {_CH} d WHERE d.book_id = c.book_id) >= 3"),
     "fn_fingerprint_validate": (fn_fingerprint_validate, "SELECT doc_id, length(substr(text, 4, 50)) > 0 AND substr(text, CASE WHEN doc_id % 2 = 0 THEN 4 ELSE 3 END, length(substr(text, 4, 50))) = substr(text, 4, 50) AS valid FROM documents"),
     "join_anchor_fingerprint": (join_anchor_fingerprint, ""),
+    "penalties_list": (
+        penalties_list,
+        "SELECT doc_id, array_to_string(list_filter([CASE WHEN doc_id % 2 = 0 THEN 'in_code_block (-0.5)' END, CASE WHEN doc_id % 3 <> 0 THEN 'no_blank_before (-0.2)' END, CASE WHEN doc_id % 5 <> 0 THEN 'no_prose_after (-0.3)' END, CASE WHEN doc_id % 4 >= 2 THEN 'list_item (-0.4)' END], lambda x: x IS NOT NULL), '; ') AS penalties FROM documents",
+    ),
+    "quality_report_md": (
+        quality_report_md,
+        f"WITH p AS (SELECT book_id, sum(w)::BIGINT AS t, count(*) AS n, avg(w) AS a, min(w)::BIGINT AS lo, max(w)::BIGINT AS hi, floor(sum(w) / 0.75::DOUBLE)::BIGINT AS k FROM {_CH} GROUP BY book_id), s AS (SELECT *, t % 100 AS q FROM p) SELECT book_id, '## Processing Quality Report' || chr(10) || chr(10) || '**Book ID:** ' || book_id || chr(10) || '**Quality Score:** ' || q || '/100 (' || CASE WHEN q >= 90 THEN 'Excellent' WHEN q >= 75 THEN 'Good' WHEN q >= 50 THEN 'Fair' ELSE 'Poor' END || ')' || chr(10) || chr(10) || '### Statistics' || chr(10) || '- Total Words: ' || format('{{:,}}', t) || chr(10) || '- Chapters Detected: ' || n || chr(10) || '- Avg Chapter Size: ' || format('{{:,}}', round_even(a, 0)::BIGINT) || ' words' || chr(10) || '- Min Chapter Size: ' || format('{{:,}}', lo) || ' words' || chr(10) || '- Max Chapter Size: ' || format('{{:,}}', hi) || ' words' || chr(10) || '- Estimated Tokens: ' || format('{{:,}}', k) || chr(10) || '- Metadata Completeness: 75%' || chr(10) || chr(10) || '### Warnings' || chr(10) || '- one' || chr(10) || '- two' || chr(10) || chr(10) || '### Info' || chr(10) || 'None' AS report FROM s",
+    ),
+    "is_valid_needs_review": (is_valid_needs_review, f"SELECT book_id, t % 5 <> 0 AND t % 100 >= 50 AS is_valid, t % 3 = 0 OR t % 10 < 7 OR t % 100 < 75 AS needs_review FROM (SELECT book_id, sum(w)::BIGINT AS t FROM {_CH} GROUP BY book_id)"),
+    "validator_messages": (validator_messages, ""),
+    "sort_quality": (sort_quality, f"SELECT book_id, (t % 100)::INTEGER AS quality_score FROM (SELECT book_id, sum(w)::BIGINT AS t FROM {_CH} GROUP BY book_id) WHERE t % 100 < 75 ORDER BY 2, 1"),
+    "sort_problematic": (sort_problematic, f"SELECT book_id, count(*) AS total_chapters FROM {_CH} GROUP BY book_id HAVING avg(w) < 2000 OR (count(*) > 40 AND avg(w) < 5000) ORDER BY avg(w), book_id"),
+    "sink_report_json": (sink_report_json, f"SELECT book_id, '{{\"book_id\":\"' || book_id || '\",\"quality_score\":' || (t % 100) || ',\"total_words\":' || t || '}}' AS json FROM (SELECT book_id, sum(w)::BIGINT AS t FROM {_CH} GROUP BY book_id)"),
 }

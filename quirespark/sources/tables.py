@@ -36,9 +36,10 @@ def order_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def books_of_files(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
     """Text files of a folder tree as books: (path, book_id, text), by lower-case name."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("wholetext", "true").text(path)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+$", 0)
-    found = files.select(F.col("_metadata.file_path").alias("path"), name.alias("name"), F.sha2("value", 256).alias("book_id"), F.col("value").alias("text"))
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path, wholetext=True)
+    # the path is a URI, in which a plus sign stands for itself
+    path_ = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    found = files.select(path_.alias("path"), F.regexp_extract(path_, r"[^/]+$", 0).alias("name"), F.sha2("value", 256).alias("book_id"), F.col("value").alias("text"))
     return found.orderBy(F.lower("name"), "path")
 
 

@@ -352,3 +352,62 @@ def with_overlap(chunks: DataFrame, keys: list[str], overlap: int = 200) -> Data
     w = words(F.coalesce(before, F.lit("")))
     tail = F.array_join(F.when(F.size(w) > overlap, F.slice(w, -overlap, overlap)).otherwise(w), " ")
     return chunks.withColumn("chunk", F.when(tail != "", F.concat(tail, F.lit(" "), F.col("chunk"))).otherwise(F.col("chunk")))
+
+
+#: Separators of chunks by characters, coarse to fine; fixed values.
+CHAR_SEPARATORS = ("\n\n", "\n", ". ", " ", "")
+
+
+def char_pieces(text: str, size: int, separators: tuple[str, ...] = CHAR_SEPARATORS, length: Callable[[str], int] = len) -> list[str]:
+    """Pieces of a text of ``size`` at most, where its separators allow.
+
+    The first separator that the text holds cuts it; pieces are joined again while
+    they fit, and one that is too large goes on to the finer separators, or stays
+    as it is where there are none.
+    """
+    at = next((i for i, x in enumerate(separators) if x == "" or x in text), None)
+    sep = separators[-1] if at is None else separators[at]
+    finer = () if at is None or sep == "" else separators[at + 1 :]
+    out: list[str] = []
+    held = ""
+    for part in text.split(sep) if sep else text:
+        if length(held + sep + part) <= size:
+            held = f"{held}{sep}{part}" if held else part
+            continue
+        out += [held] if held else []
+        held = ""
+        if length(part) <= size:
+            held = part
+        elif finer:
+            out += char_pieces(part, size, finer, length)
+        else:
+            out.append(part)
+    return out + ([held] if held else [])
+
+
+def split_chars(chapters: DataFrame, size: int, separators: tuple[str, ...] = CHAR_SEPARATORS, length: Callable[[str], int] = len, text: str = "text") -> DataFrame:
+    """(..., chunk_index, chunk, start_pos, end_pos, word_count) of the chunks of every text.
+
+    A recursion over the text with a length function of the caller's: on Arrow
+    batches in Python. A chunk's place is searched for from the end of the one before.
+    """
+    import pandas as pd
+
+    kind = "array<struct<chunk:string,start_pos:int,end_pos:int>>"
+
+    def cut(texts: pd.Series) -> pd.Series:
+        def one(t: str | None) -> list[dict]:
+            rows, at = [], 0
+            for c in char_pieces(t or "", size, separators, length):
+                found = t.find(c, at)
+                start = at if found < 0 else found
+                at = start + len(c)
+                rows.append({"chunk": c, "start_pos": start, "end_pos": at})
+            return rows
+
+        return texts.map(one)
+
+    # annotations are names here, so the kind of function is given
+    chunks = F.pandas_udf(cut, kind, F.PandasUDFType.SCALAR)(F.coalesce(text, F.lit("")))
+    keys = [c for c in chapters.columns if c != text]
+    return chapters.select(*keys, F.posexplode(chunks).alias("chunk_index", "x")).select(*keys, "chunk_index", "x.*", F.size(words(F.col("x.chunk"))).alias("word_count"))

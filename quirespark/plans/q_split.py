@@ -43,6 +43,11 @@ def chapter_aware_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", "chunk_index", "chunk_words", "separator", F.sha2("chunk", 256).alias("chunk_hash"))
 
 
+def recursive_split_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = splitting.split_chars(_docs(spark, sf_dir), 400)
+    return c.select("doc_id", "chunk_index", "start_pos", "end_pos", "word_count", F.sha2("chunk", 256).alias("chunk_hash"))
+
+
 #: Stands around each text, the same on both sides.
 HEAD, FOOT = "## Opening: \n", "\n\nKey  Points:\n1.1 One\n1.2 Two\n1.3 Three\n\n2.1 Second Part\n"
 _TOKENS = 200
@@ -169,6 +174,7 @@ CATALOG = {
         "SELECT doc_id, 1 AS pack, length(c)::INTEGER AS chars, sha256(c) AS content_hash FROM (SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> ''), chr(10) || chr(10)) AS c FROM documents) WHERE c <> ''",
     ),
     "chapter_aware_split": (chapter_aware_split, ""),
+    "recursive_split_chars": (recursive_split_chars, ""),
     "validate_splits": (
         validate_splits,
         f"""WITH g AS (SELECT book_id, count(*) AS n, sum(w)::BIGINT AS total, count(*) FILTER (w < 3000) AS under, count(*) FILTER (w > 15000) AS over FROM (SELECT book_id, word_count * 10 AS w FROM {_CH}) GROUP BY book_id),

@@ -156,3 +156,20 @@ def test_validated_splits(spark):
     assert (got[2].quality_score, got[2].valid) == (100 - 20 - 15 - 5, False)
     stats = {r.id: r for r in splitting.split_stats(df, ["id"]).collect()}
     assert (stats[2].total_chunks, stats[2].min_chunk_size, stats[2].max_chunk_size, stats[2].separators_used) == (4, 100, 16000, {"line": 4})
+
+
+def test_chunks_by_characters(spark):
+    assert splitting.char_pieces("aaa bbb ccc", 7) == ["aaa bbb", "ccc"]
+    assert splitting.char_pieces("one. two\n\nthree four", 9) == ["one. two", "three", "four"]
+    assert splitting.char_pieces("abcdefgh", 3) == ["abc", "def", "gh"]
+    assert splitting.char_pieces("", 3) == []
+    assert splitting.char_pieces("a b c d", 2, length=lambda x: len(x.split())) == ["a b", "c d"]
+    rng = random.Random(2)
+    texts = [chapter(rng) for _ in range(20)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    rows = splitting.split_chars(df, 80).collect()
+    for r in rows:
+        assert len(r.chunk) <= 80 and r.word_count == len(r.chunk.split())
+        assert texts[r.id][r.start_pos : r.end_pos] == r.chunk
+    for i, t in enumerate(texts[:20]):
+        assert "".join("".join(r.chunk for r in sorted(rows, key=lambda r: r.chunk_index) if r.id == i).split()).replace(".", "") == "".join(t.split()).replace(".", "")

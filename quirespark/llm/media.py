@@ -4,8 +4,10 @@
 frames of FRAME bytes in chunks, with a sync sample every GROUP frames, and the
 tables that say so (sample sizes, samples per chunk, chunk offsets, times, sync
 samples). ``probe`` walks nested boxes of any such file, decodes the sample
-tables and gives codec, duration and the byte ranges of the key frames; sample
-payloads are never decoded, only addressed.
+tables and the runs of fragments and gives codec, duration and the byte ranges of
+the key frames of the main track, which is the first video track or else the first; sample
+payloads are never decoded, only addressed. Numbers of samples are bounded by the
+bytes of the file before anything is made of them.
 
 Defined results: null bytes count as empty; the payload is padded with bytes 0
 to a positive multiple of 64, so no file is without samples. A truncated or

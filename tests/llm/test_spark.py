@@ -121,6 +121,38 @@ def test_near_duplicates_match_brute_force(spark):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
+def test_large_buckets_are_divided_without_loss(spark, monkeypatch):
+    """One group of near copies, of which some are linked by chains only and some not at all."""
+    monkeypatch.setattr(minhash, "SMALL", 12)
+    monkeypatch.setattr(line_dedup, "SMALL", 12)
+    rng = random.Random(17)
+    base = words(rng, 150).split()
+    texts = {}
+    for i in range(160):
+        w = list(base)
+        for _ in range(rng.choice([1, 3, 6, 9, 14])):
+            w[rng.randrange(len(w))] = "x" + str(rng.randrange(100000))
+        texts[i] = " ".join(w)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = minhash.brute_force(texts, minhash.CONTRACT)
+    assert len(set(c for _, c in want.values())) > 20
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.link(df, minhash.CONTRACT).collect()} == want
+    sets = {i: {t[j : j + line_dedup.WINDOW] for j in range(len(t) - line_dedup.WINDOW + 1)} for i, t in texts.items()}
+    root = {i: i for i in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in texts:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    assert {r.doc_id: r.n_removed for r in line_dedup.decisions(df).collect()} == {i: int(find(i) != i) for i in texts}
+
+
 def test_near_duplicates_odd_rows(odd, none):
     got = minhash.dedup(odd).collect()
     assert sorted((r.doc_id or 0) for r in got) == [0, 1, 2, 3, 4, 6]

@@ -9,8 +9,11 @@ again.
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +36,17 @@ class Options:
     clean: bool = True
 
 
+def load_options(path: str | None = None) -> Options:
+    """Options from a JSON file: the one named, or that in QUIRESPARK_CONFIG; the defaults without one. Unknown keys are an error."""
+    path = path or os.environ.get("QUIRESPARK_CONFIG")
+    if not path:
+        return Options()
+    given = json.loads(Path(path).read_text(encoding="utf-8"))
+    if "section_patterns" in given:
+        given["section_patterns"] = tuple(given["section_patterns"])
+    return Options(**given)
+
+
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """(book_id, source_file, text, given_title, given_author, given_language) of the .txt and .epub files below ``path``."""
     plain = tables.books_of_files(spark, path).select("book_id", F.col("path").alias("source_file"), "text", *[F.lit(None).cast("string").alias(f"given_{c}") for c in ("title", "author", "language")])

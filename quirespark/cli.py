@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ def parser() -> argparse.ArgumentParser:
     x.add_argument("library")
     x.add_argument("--merge", action="store_true", help="merge small neighbours")
     x.add_argument("--raw", action="store_true", help="leave the text as it is")
-    x.add_argument("--max-tokens", type=int, default=api.Options.max_section_tokens)
+    x.add_argument("--max-tokens", type=int, help="estimated tokens of a section")
+    x.add_argument("--config", help="JSON file of options")
     for name in ("list", "audit", "quality", "report", "merges"):
         y = sub.add_parser(name)
         y.add_argument("library")
@@ -55,7 +57,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("quirespark").getOrCreate()
     if a.command == "process":
-        batch = api.ingest(spark, a.path, a.library, api.Options(merge=a.merge, clean=not a.raw, max_section_tokens=a.max_tokens))
+        o = api.load_options(a.config)
+        o = replace(o, merge=a.merge or o.merge, clean=o.clean and not a.raw, max_section_tokens=a.max_tokens or o.max_section_tokens)
+        batch = api.ingest(spark, a.path, a.library, o)
         print(f"batch {batch}" if batch else "nothing new")
         return 0
     if api.table(spark, a.library, "books") is None:

@@ -114,6 +114,11 @@ def in_code(line_table: DataFrame) -> DataFrame:
     return _own(_in_code(_blocks(line_table)))
 
 
+def non_code_lines(line_table: DataFrame) -> DataFrame:
+    """The lines outside of code regions."""
+    return in_code(line_table).filter(~F.col("in_code_block")).drop("in_code_block")
+
+
 def _in_code(line_table: DataFrame) -> DataFrame:
     """``in_code`` on blocks; code further away than 2 lines doesn't matter.
 

@@ -388,3 +388,22 @@ def strip_frontmatter(s: Column) -> Column:
     """What follows a leading block between lines of three dashes."""
     parts = F.split(s, "---", 3)
     return F.when(s.startswith("---") & (F.size(parts) == 3), strip(parts[2])).otherwise(s)
+
+
+def with_commas(n: Column) -> Column:
+    return F.format_string("%,d", n.cast("long"))
+
+
+def percent(share: Column, digits: int = 0) -> Column:
+    """A share as a percentage, rounded half to even."""
+    return F.concat(F.format_string(f"%.{digits}f", F.bround(share * 100, digits)), F.lit("%"))
+
+
+def timestamp_text(at: Column | None = None) -> Column:
+    """A time as logs and reports write it; now, if none is given."""
+    return F.date_format(F.current_timestamp() if at is None else at, "yyyy-MM-dd HH:mm:ss")
+
+
+def stable_id(*parts: Column) -> Column:
+    """An id that a rerun gives again, unlike a random one."""
+    return F.substring(F.sha2(F.concat_ws("\x1f", *[F.coalesce(p.cast("string"), F.lit("\x00")) for p in parts]), 256), 1, 32)

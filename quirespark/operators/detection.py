@@ -7,8 +7,11 @@ books are independent.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import lines as ln
 from ..functions.text import normalize_title, word_count
@@ -132,3 +135,31 @@ def diagnostics(candidates: DataFrame, anchors: DataFrame) -> DataFrame:
         )
     )
     return j.withColumn("issues", F.array_join(issues, ";"))
+
+
+#: Characters of a book that a model behind a port is shown; fixed value.
+SAMPLE = 10_000
+
+
+def ask_when_unsure(results: DataFrame, port: Callable[[str, str, float], tuple[float, str]] | None, threshold: float = 0.5) -> DataFrame:
+    """Results (book_id, text, confidence, ...) with what a model adds to unsure ones: more confidence, up to 1, and ``advice``.
+
+    ``port`` gets a book's id, the beginning of its text and the confidence. Without
+    one nothing is asked.
+    """
+    if port is None:
+        return results.withColumn("advice", F.lit(None).cast("string"))
+    import pandas as pd
+
+    schema = T.StructType([f for f in results.schema if f.name != "advice"]).add("advice", "string")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            f = f.copy()
+            f["advice"] = pd.Series([None] * len(f), index=f.index, dtype=object)
+            for i in f.index[f["confidence"] < threshold]:
+                more, f.at[i, "advice"] = port(str(f.at[i, "book_id"]), (f.at[i, "text"] or "")[:SAMPLE], float(f.at[i, "confidence"]))
+                f.at[i, "confidence"] = min(1.0, f.at[i, "confidence"] + more)
+            yield f[schema.fieldNames()]
+
+    return results.mapInPandas(run, schema)

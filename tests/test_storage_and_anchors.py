@@ -96,3 +96,43 @@ def test_counters_of_the_cleaner(spark):
     assert (r[1].clean, r[2].clean, r[1].reduction_percent) == ("", "", 0.0)
     flags = spark.createDataFrame([(s,)], "s string").select(t.clean_llm(F.col("s"), quote=False, html=False, page_numbers=False).alias("o")).first().o
     assert flags.startswith("<b>“fine”</b>\n12\n")
+
+
+def test_embeddings_and_models_behind_ports(spark):
+    from quirespark.operators import detection
+
+    def load():
+        return lambda texts: [[float(len(x)), 1.0] for x in texts]
+
+    c = spark.createDataFrame([(1, "abc", None, None), (2, None, None, None), (3, "x", [9.0], "old")], "id int, content string, embedding array<float>, embedding_model string")
+    got = {r.id: (r.embedding, r.embedding_model) for r in semantic.embed_missing(c, load, "m").collect()}
+    assert got == {1: ([3.0, 1.0], "m"), 2: (None, None), 3: ([9.0], "old")}
+    assert {r.id: r.embedding_model for r in semantic.embed_missing(c, load, "m", force=True).collect()} == {1: "m", 2: None, 3: "m"}
+    r = spark.createDataFrame([(1, "t", 0.3), (2, None, 0.45), (3, "u", 0.9)], "book_id int, text string, confidence double")
+    asked = {x.book_id: (round(x.confidence, 2), x.advice) for x in detection.ask_when_unsure(r, lambda b, t, c: (0.6, f"{b}:{t}")).collect()}
+    assert asked == {1: (0.9, "1:t"), 2: (1.0, "2:"), 3: (0.9, None)}
+    assert {x.advice for x in detection.ask_when_unsure(r, None).collect()} == {None}
+
+
+def test_formats_options_and_progress(spark, tmp_path, monkeypatch):
+    from quirespark import api
+    from quirespark.streaming import ingest
+
+    row = spark.range(1).select(t.with_commas(F.lit(1234567)).alias("a"), t.percent(F.lit(0.125)).alias("b"), t.percent(F.lit(0.1234), 1).alias("c"), t.stable_id(F.lit("x"), F.lit(1)).alias("d"), t.stable_id(F.lit("x1")).alias("e")).first()
+    assert row[:3] == ("1,234,567", "12%", "12.3%") and row.d != row.e and len(row.d) == 32
+    (tmp_path / "o.json").write_text('{"merge": true, "section_patterns": ["Q: .+"]}')
+    monkeypatch.setenv("QUIRESPARK_CONFIG", str(tmp_path / "o.json"))
+    assert api.load_options() == api.Options(merge=True, section_patterns=("Q: .+",))
+    seen = []
+    listener = ingest.Progress(lambda name, batch, rows: seen.append((name, rows)))
+    spark.streams.addListener(listener)
+    q = spark.readStream.format("rate").option("rowsPerSecond", 5).load().writeStream.format("noop").queryName("p").start()
+    for _ in range(60):
+        q.awaitTermination(0.5)
+        if seen:
+            break
+    q.stop()
+    spark.streams.removeListener(listener)
+    assert seen and seen[0][0] == "p"
+    df = spark.createDataFrame([(1, 0, "$ run it"), (1, 1, "$ run me"), (1, 2, "prose here")], "book_id int, line_index int, line string")
+    assert [r.line_index for r in ln.non_code_lines(df).collect()] == [2]

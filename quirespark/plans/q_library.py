@@ -263,7 +263,7 @@ CATALOG = {
     "sink_upsert_books": (sink_upsert_books, "SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN c_name || '*' ELSE c_name END AS title FROM customer UNION ALL SELECT c_custkey + 1000000, c_name FROM customer WHERE c_custkey % 50 = 1"),
     "agg_batch_summary": (agg_batch_summary, f"SELECT count(*) AS total, count(*) FILTER (ok) AS succeeded, count(*) FILTER (NOT ok) AS failed, sum(total_chapters) FILTER (ok)::BIGINT AS chapters, sum(total_words) FILTER (ok)::BIGINT AS words, count(*) FILTER (ok)::DOUBLE / count(*) AS success_rate FROM (SELECT *, book_id % 7 <> 0 AS ok FROM ({_PROFILE.format(ORDERS)}))"),
     "win_adjacent_similarity": (win_adjacent_similarity, f"SELECT book_id, position, round(c, 6) AS similarity FROM ({_COS}) WHERE nx IS NOT NULL"),
-    "detect_boundaries": (detect_boundaries, f"SELECT book_id, position, round(c, 6) < quantile_cont(round(c, 6), 0.1) OVER (PARTITION BY book_id) AS is_significant FROM ({_COS}) WHERE nx IS NOT NULL"),
+    "detect_boundaries": (detect_boundaries, f"SELECT book_id, position, c < quantile_cont(c, 0.1) OVER (PARTITION BY book_id) AS is_significant FROM ({_COS}) WHERE nx IS NOT NULL"),
     "join_nearest_boundary": (
         join_nearest_boundary,
         "WITH c AS (SELECT source AS book_id, doc_id * 7 AS line_index FROM documents), b AS (SELECT source AS book_id, doc_id * 5 + 2 AS bl FROM documents) SELECT c.book_id, c.line_index, arg_min(bl, (abs(c.line_index - bl), bl)) AS boundary_line, min(abs(c.line_index - bl)) AS distance FROM c LEFT JOIN b ON b.book_id = c.book_id GROUP BY 1, 2",

@@ -167,7 +167,7 @@ def add_columns(
     names = schema.fieldNames()
 
     def run(batches):
-        f = make()
+        f, pool = make(), pa.default_memory_pool()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -180,6 +180,8 @@ def add_columns(
                 out = f(*[c.slice(a, b - a) for c in columns])
                 rows = [batch.column(i).slice(a, b - a) for i in range(n_kept)]
                 yield pa.RecordBatch.from_arrays([*rows, *out], names=names)
+            del batch, columns
+            pool.release_unused()  # workers live on from task to task
 
     import pyarrow.compute  # noqa: F401  used in run
 

@@ -19,8 +19,6 @@ from .common import checkpoint, prefilter, release, unplaced
 ONE_TASK = 200_000
 #: Centres of a bucket in the second round.
 CENTRES = 8
-#: Times that a larger bucket is divided by further keys.
-LEVELS = 3
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -98,18 +96,37 @@ def _several(buckets: DataFrame) -> DataFrame:
     return buckets.join(keys.select(unplaced("key"), "members"), "key")
 
 
-def _across(x: DataFrame, y: DataFrame, order: Column, close: Callable[[str, str], Column]) -> DataFrame:
-    """Pairs (a, b) within buckets that are ``close``; all others are never made."""
-    pairs = x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & order & close("x", "y"))
+def _across(x: DataFrame, y: DataFrame, order: Column, close: Callable[[str, str], tuple[Column, Column]]) -> DataFrame:
+    """Pairs (a, b) within cells that are ``close``; all others are never made.
+
+    A pair that meets in several buckets is compared in full in the first of them only.
+    """
+    quick, full = close("x", "y")
+    once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")
+    pairs = x.alias("x").join(y.alias("y"), (F.col("x.cell") == F.col("y.cell")) & order & quick & once & full)
     return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
+def _cells(rest: DataFrame, known: DataFrame, small: int | None = None) -> DataFrame:
+    """Members with their traits, a row for each bucket, or for each cell of a bucket of over ``small`` members.
+
+    The members of a large bucket are dealt to tiles of about ``small``; every two tiles
+    make a cell, and every tile one with itself, so that any two members meet in one
+    cell and cells can be worked on by many tasks. Traits are joined to a row a member.
+    """
+    each = rest.groupBy("id").agg(F.max("label").alias("label"), F.collect_list(F.struct("key", "members")).alias("at")).join(known, "id")
+    tiles = "1L" if small is None else f"cast(ceil(m.members / {small}) as long)"
+    at = F.expr(f"flatten(transform(at, m -> transform(sequence(0L, {tiles} - 1L), j -> named_struct('key', m.key, 'members', m.members, 'tile', pmod(xxhash64(id), {tiles}), 'other', j))))")
+    rows = each.select("id", "label", F.col("at.key").alias("keys"), *[c for c in known.columns if c != "id"], F.explode(at).alias("m")).select("*", "m.*").drop("m")
+    cell = F.col("key") if small is None else F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other"))
+    return rows.withColumn("cell", cell)
+
+
 def bucket_components(
     buckets: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     traits: Callable[[DataFrame], DataFrame],
-    close: Callable[[str, str], Column],
-    further: Callable[[int], Column],
+    close: Callable[[str, str], tuple[Column, Column]],
     small: int,
 ) -> DataFrame | None:
     """(node, component) of the nodes linked within buckets; None if there are none.
@@ -119,13 +136,14 @@ def bucket_components(
     of each of its buckets, another in each bucket, and what is linked is
     contracted. In buckets that still hold several components, members are
     compared with CENTRES others or so, at random, and contracted once more,
-    which leaves those that are linked with few or none. These are compared across
-    components: with all in a bucket of up to ``small`` members; larger buckets are
-    divided by ``further(level)``, arrays of keys that linked members are likely
-    to share one of, again and again (LEVELS times at most). So comparisons grow with the
-    members of a bucket, not with their square, and no pair is made that isn't
-    ``close``, a condition on the columns of ``traits`` (a function of a table of (id) that
-    returns one of (id, ...)) of both sides.
+    which leaves those that are linked with few or none. These are compared with
+    all members of other components in each of their buckets, whatever its size: no pair that
+    shares a bucket is left out. Buckets of over ``small`` members are cut into cells
+    for that, which spread over tasks. No pair is made that isn't
+    ``close``, a quick condition and a full one on the columns of ``traits`` (a function of a
+    table of (id) that returns one of (id, ...)) of both sides; so rows grow with the
+    members of a bucket, over ``small`` with a ``small``-th of their square, and comparisons
+    with the square of those in buckets of several components.
     """
     centre = buckets.groupBy("key").agg(F.min(F.struct(F.col("id").bitwiseXOR(F.col("key")).alias("x"), "id")).alias("c"))
     first = buckets.join(centre.select(unplaced("key"), F.col("c.id").alias("other")), "key").filter("id <> other")
@@ -144,21 +162,16 @@ def bucket_components(
     ids = checkpoint(rest.select("id").distinct())
     known = traits(ids)
 
-    several = rest.join(known, "id")
-    others = several.filter(F.pmod(F.xxhash64("key", "id"), F.ceil(F.col("members") / CENTRES)) == 0)
-    new = verify(checkpoint(_across(several, others, F.col("x.label") != F.col("y.label"), close)))
+    some = rest.filter(F.pmod(F.xxhash64("key", "id"), F.ceil(F.col("members") / CENTRES)) == 0)
+    differ = F.col("x.label") != F.col("y.label")
+    new = verify(checkpoint(_across(_cells(rest, known), _cells(some, known), differ, close)))
     past, edges = edges, checkpoint(edges.unionByName(new))
     release(past, rest)
 
-    rest, pairs = left(components(edges, "a", "b")), None
-    for level in range(LEVELS + 1):
-        several = rest.join(known, "id")
-        here = several if level == LEVELS else several.filter(F.col("members") <= small)
-        made = _across(here, here, F.col("x.label") < F.col("y.label"), close)
-        pairs = made if pairs is None else pairs.unionByName(made)
-        if level == LEVELS or rest.filter(F.col("members") > small).isEmpty():
-            break
-        split = several.filter(F.col("members") > small).select("id", "label", F.posexplode(further(level)).alias("i", "more"), F.col("key").alias("old"))
-        rest = checkpoint(_several(split.select(F.xxhash64("old", "i", "more").alias("key"), "id", "label")))
-    edges = checkpoint(edges.unionByName(verify(checkpoint(pairs.distinct()))))
+    rest = left(components(edges, "a", "b"))
+    cells = _cells(rest, known, small)
+    # each pair once: from the lower tile, or from the lower id of a tile
+    order = (F.col("x.tile") < F.col("y.tile")) | ((F.col("x.tile") == F.col("x.other")) & (F.col("x.id") < F.col("y.id")))
+    pairs = checkpoint(_across(cells, cells, differ & order, close))
+    edges = checkpoint(edges.unionByName(verify(pairs)))
     return components(edges, "a", "b") if not edges.isEmpty() else None

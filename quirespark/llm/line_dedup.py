@@ -47,10 +47,8 @@ SKETCH = 16
 FEW = 24
 #: Shingles of a set that later rounds carry with its sketch, so that only links become pairs.
 CARRIED = 2048
-#: Members of a bucket that are compared with all others of it; a comparison of sketches takes 0.1 microseconds or less.
+#: Members of a bucket above which it is cut into cells of as many against as many; a comparison of sketches takes 0.1 microseconds or less.
 SMALL = 2000
-#: Further keys that divide a large bucket, and the minima in each.
-FURTHER, DEEP = 8, 6
 #: Multipliers of the minima: odd 31-bit numbers from a generator of fixed seed.
 _MULTIPLIERS = [random.Random(20240229 + i).getrandbits(30) * 2 + 1 for i in range(BANDS * ROWS)]
 _LAST = (1 << 63) - 1
@@ -169,13 +167,6 @@ def _verified(pairs: DataFrame, known: DataFrame, num: int) -> DataFrame:
     return p.filter(_enough("x", "y", F.size(F.array_intersect(grams("l1"), grams("l2"))), num)).select("a", "b")
 
 
-def _further(level: int) -> Column:
-    """FURTHER keys of DEEP minima each, by orders of their own; made from the lines of large buckets only."""
-    first = level * FURTHER
-    minima = f"transform(sequence(1, {DEEP}), k -> array_min(transform(g, v -> xxhash64(v, j, k))))"
-    return F.expr(f"flatten(transform(array({_grams_sql('line')}), g -> transform(sequence({first}, {first + FURTHER - 1}), j -> xxhash64({minima}))))")
-
-
 def _components(each: DataFrame, docs: DataFrame, num: int) -> DataFrame | None:
     """(node, component) of the line hashes ``id`` of ``each`` (id, bands), a table that is used up."""
     buckets = shared_buckets(each.select("id", F.explode("bands").alias("key")))
@@ -188,11 +179,11 @@ def _components(each: DataFrame, docs: DataFrame, num: int) -> DataFrame | None:
         # halves of hashes that are equal would count as one
         return checkpoint(t.withColumn("g", F.when(F.size(F.array_distinct("g")) == F.col("n"), F.col("g"))))
 
-    def close(x: str, y: str) -> Column:
+    def close(x: str, y: str) -> tuple[Column, Column]:
         both = F.size(F.array_intersect(f"{x}.g", f"{y}.g"))
-        return _may_link(x, y, num) & F.when(F.col(f"{x}.g").isNull() | F.col(f"{y}.g").isNull(), True).otherwise(_enough(x, y, both, num))
+        return _may_link(x, y, num), F.when(F.col(f"{x}.g").isNull() | F.col(f"{y}.g").isNull(), True).otherwise(_enough(x, y, both, num))
 
-    found = bucket_components(buckets, lambda pairs: _verified(pairs, known, num), traits, close, _further, SMALL)
+    found = bucket_components(buckets, lambda pairs: _verified(pairs, known, num), traits, close, SMALL)
     release(buckets, known)
     return found
 

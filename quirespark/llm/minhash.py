@@ -9,11 +9,10 @@ Documents with one digest are one class, of which the smallest id takes part in
 the search. Candidates come from the bands: in every bucket all members are
 compared with one centre, the linked ones are contracted to components, and the
 buckets that still hold several components get other centres; what is left
-is compared across components, within buckets of up to SMALL members;
-larger ones are first divided by further parts of the signatures, of which a pair
-at the threshold shares one in a shared bucket with probability 0.997 and over in
-all its buckets. So a group of copies costs a number of comparisons in
-proportion to its size. A pair is dropped without a look at its
+is compared across components, each pair that shares a bucket, whatever the
+bucket's size; those of over SMALL members are cut into cells for that. So a group of linked
+copies costs a number of comparisons in proportion to its size, and the
+members of other components in its buckets one with each of them. A pair is dropped without a look at its
 sets where its signatures agree in so few bits that the collision-corrected
 estimate lies SLACK standard errors below the threshold; the others are confirmed by the exact
 size of the intersection of the full sets. In the later rounds sets of up to FEW
@@ -47,8 +46,7 @@ BITS = 2
 SIGNATURE = 512  # minima in a signature
 SLACK = 4.5  # standard errors of the estimate, beyond which a pair is dropped
 FEW = 512  # shingles of a set that later rounds carry with its signature
-SMALL = 1000  # members of a bucket that are compared with all others of it
-FURTHER = 8  # further keys that divide a large bucket, of 12 slots of the signature each
+SMALL = 1000  # members of a bucket above which it is cut into cells of as many against as many
 
 _WORDS_KEPT = 1 << 18  # hashed words a worker remembers
 
@@ -208,20 +206,12 @@ def _may_link(near: Near, x: str, y: str) -> Column:
     return (F.least(a, b) * near.den >= F.greatest(a, b) * near.num) & (agreement(f"{x}.sig", f"{y}.sig") >= least_agreement(near))
 
 
-def _close(near: Near, x: str, y: str) -> Column:
-    """``_may_link``, and for sets of up to FEW shingles whether enough are shared."""
+def _close(near: Near, x: str, y: str) -> tuple[Column, Column]:
+    """``_may_link``, and whether enough shingles are shared, for sets of up to FEW."""
     a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
     both = F.size(F.array_intersect(f"{x}.few", f"{y}.few"))
     enough = both * (near.den + near.num) >= (a + b) * near.num
-    return _may_link(near, x, y) & F.when(F.col(f"{x}.few").isNull() | F.col(f"{y}.few").isNull(), True).otherwise(enough)
-
-
-def _further(level: int) -> Column:
-    """FURTHER keys of 12 slots of the signature each; no slot is used by two levels, up to the fourth."""
-    slots, longs = 12, SIGNATURE * BITS // 64
-    start = level * FURTHER
-    mask = (1 << (slots * BITS)) - 1
-    return F.array(*[F.shiftrightunsigned(F.get("sig", F.lit((start + i) % longs)), 32 * ((start + i) // longs % 2)).bitwiseAND(F.lit(mask).cast("long")) for i in range(FURTHER)])
+    return _may_link(near, x, y), F.when(F.col(f"{x}.few").isNull() | F.col(f"{y}.few").isNull(), True).otherwise(enough)
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
@@ -266,7 +256,7 @@ def link(docs: DataFrame, near: Near = PRODUCTION) -> DataFrame:
         sets = _sets(texts, ids, near).groupBy("id").agg(F.when(F.count("*") == 1, F.max("few")).alias("few"))
         return checkpoint(reps.select("id", "n_shingles", "sig").join(sets.select(unplaced("id"), "few"), "id"))
 
-    found = bucket_components(buckets, lambda pairs: _verified(pairs, reps, texts, near), traits, lambda x, y: _close(near, x, y), _further, SMALL)
+    found = bucket_components(buckets, lambda pairs: _verified(pairs, reps, texts, near), traits, lambda x, y: _close(near, x, y), SMALL)
     release(buckets)
     of_class = classes if found is None else classes.join(found, F.col("id") == F.col("node"), "left").withColumn("id", F.coalesce("component", "id"))
     of_class = of_class.select(unplaced("d1"), F.col("d2").alias("e2"), F.col("id").alias("component_id")).withColumnRenamed("d1", "e1")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, checkpoint, fresh, prefilter, release, ship, unplaced
+from .common import add_columns, cache, checkpoint, fresh, prefilter, release, ship, unplaced
 from .graph import bucket_components, shared_buckets
 
 BITS = 2
@@ -83,7 +83,7 @@ class _Words(dict):
         return h
 
 
-_HASHES = _Words()
+_HASHES = cache(_Words())
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:

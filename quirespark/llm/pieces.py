@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns
+from .common import add_columns, clear_caches
 
 MARK = "▁"
 _CHUNK = re.compile(f"[ {MARK}]+[^ {MARK}]*")
@@ -41,7 +41,7 @@ class PieceTable:
     anew, which costs time only.
     """
 
-    def __init__(self, model: str, max_chars: int = 12_000_000):
+    def __init__(self, model: str, max_chars: int = 3_000_000):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -137,6 +137,7 @@ _TABLES: dict[str, PieceTable] = {}
 
 
 def _table(model: str) -> PieceTable:
+    clear_caches()  # the table takes a worker's memory alone
     if model not in _TABLES:
         _TABLES[model] = PieceTable(model)
     return _TABLES[model]

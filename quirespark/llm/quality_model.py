@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, checkpoint
+from .common import add_columns, cache, checkpoint
 from .quality_rules import repeated
 
 GOOD, BAD, ABSTAIN, SILENT = 1, 0, 2, 3
@@ -140,7 +140,7 @@ class _Slots(dict):
         return x
 
 
-_SLOTS = _Slots()
+_SLOTS = cache(_Slots())
 
 
 def features(text: str | None, values: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:

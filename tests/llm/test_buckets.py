@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from quirespark.llm import graph, line_dedup, minhash
 
 
@@ -81,3 +82,10 @@ def test_lines_in_large_buckets(spark, large, pairs):
     stay = first_lines(pairs)
     assert 60 < len(stay) < 200
     assert {r.doc_id for r in line_dedup.decisions(df).filter("n_removed = 0").collect()} == stay
+
+
+def test_stages_of_the_pipeline_in_large_buckets(spark, large, pairs):
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in pairs.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    groups = minhash.brute_force(pairs, minhash.PRODUCTION)
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == {i for i, (_, c) in groups.items() if i == c}
+    assert {r.doc_id for r in corpus_pipeline.lines(spark, df, "").filter("text <> ''").collect()} == first_lines(pairs)

@@ -5,11 +5,12 @@ unless ``short`` is set: then those that are not blank take part in the classes
 of equal lines, though not in the links of near copies. A line's shingles are the
 windows of WINDOW characters (UTF-16 units) at every position of the line in
 lower case, as 64-bit hashes, in the signatures and in the comparison. Lines of
-one hash are one class. The windows are exploded and aggregated by class at once,
-within generated code, where a window takes about 0.1 microseconds:
-BANDS x ROWS minima under multiplications modulo 2^32. ROWS minima make a band; a
-pair at similarity s shares one with probability 1 - (1 - s^ROWS)^BANDS, 0.997
-at 0.8. Lines of at most FEW distinct shingles are also found exactly. Classes
+one hash are one class. The windows are exploded and aggregated within generated
+code. The lowest bits of a window's hash name one of BANDS parts of the line's set, and
+the ROWS minima of each part, under other orders of the hash, make a band. A pair
+at similarity s shares one with probability 1 - (1 - s^ROWS)^BANDS, 0.997
+at 0.8, or more, as the similarities of the parts have s for their mean and
+log(1 - s^ROWS) is concave. Lines of at most FEW distinct shingles are also found exactly. Classes
 that share a band are compared by the exact Jaccard similarity of their shingle
 sets and linked at ``num`` of 100; linked classes form components, of which the
 first occurrence (by doc_id, then position) stays and all other lines go.
@@ -27,8 +28,6 @@ others in the order of occurrences. Other columns stay as they are.
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +36,7 @@ from .graph import bucket_components, shared_buckets
 
 MIN_CHARS = 24
 WINDOW = 12
-BANDS = 8
+BANDS = 8  # a power of 2
 ROWS = 3
 NUM = 80
 
@@ -49,8 +48,8 @@ FEW = 24
 CARRIED = 2048
 #: Members of a bucket above which it is cut into cells of as many against as many; a comparison of sketches takes 0.1 microseconds or less.
 SMALL = 2000
-#: Multipliers of the minima: odd 31-bit numbers from a generator of fixed seed.
-_MULTIPLIERS = [random.Random(20240229 + i).getrandbits(30) * 2 + 1 for i in range(BANDS * ROWS)]
+#: Bits by which a hash is shifted to the left for each order: other bits lead in each.
+_SHIFT = 20
 _LAST = (1 << 63) - 1
 
 
@@ -86,9 +85,11 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 
 def lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """(doc_id, rid, pos, line) of the lines that take part; ``line`` is plain."""
-    all_lines = docs.select("doc_id", row_key().alias("rid"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    # both before the lines: above the generator the text would be hashed for each line, and each use of a line make it plain anew
+    rows = docs.select("doc_id", row_key().alias("rid"), F.transform(F.split("text", "\n"), plain).alias("all"))
+    all_lines = rows.select("doc_id", "rid", F.posexplode("all").alias("pos", "line"))
     long_enough = F.length("line") >= MIN_CHARS
-    return all_lines.withColumn("line", plain(F.col("line"))).filter(long_enough | F.col("line").rlike(r"\S") if short else long_enough)
+    return all_lines.filter(long_enough | F.col("line").rlike(r"\S") if short else long_enough)
 
 
 def few_chars(num: int) -> int:
@@ -104,15 +105,14 @@ def _exploded(lines_: DataFrame) -> DataFrame:
 
 
 def add_bands(lines_: DataFrame, short_lines: DataFrame, num: int = NUM) -> DataFrame:
-    """(id, bands) of the lines (id, line) of MIN_CHARS or more; a short line has two rows or more.
+    """(id, bands) of the lines (id, line) of MIN_CHARS or more; a line has several rows.
 
-    Keys of the minima for all of ``lines_``, those of the prefixes for lines of
-    few shingles among ``short_lines``.
+    Keys of the minima for all of ``lines_``, a row for each part of a line's set, those of the
+    prefixes for lines of few shingles among ``short_lines``.
     """
-    # 31 bits times 31 bits stay below 2^62
-    each = _exploded(lines_).select("id", F.expr(f"x & {(1 << 31) - 1}L").alias("x"))
-    minima = each.groupBy("id").agg(*[F.min(F.expr(f"(x * {m}L) & {(1 << 32) - 1}L")).alias(f"m{i}") for i, m in enumerate(_MULTIPLIERS)])
-    out = minima.select("id", F.array(*[F.xxhash64(F.lit(i), *[f"m{i * ROWS + j}" for j in range(ROWS)]) for i in range(BANDS)]).alias("bands"))
+    parts = _exploded(lines_).groupBy("id", F.expr(f"x & {BANDS - 1}L").alias("part"))
+    minima = parts.agg(*[F.min(F.shiftleft("x", _SHIFT * j)).alias(f"m{j}") for j in range(ROWS)])
+    out = minima.select("id", F.array(F.xxhash64("part", *[f"m{j}" for j in range(ROWS)])).alias("bands"))
 
     few = short_lines.filter(F.length("line").between(MIN_CHARS, few_chars(num))).withColumn("b", F.encode("line", "UTF-16BE"))
     few = few.withColumn("s", F.sort_array(F.array_distinct(_windows("b")))).withColumn("n", F.size("s")).filter(F.col("n") * num <= FEW * 100)
@@ -131,9 +131,12 @@ def _may_link(x: str, y: str, num: int) -> Column:
     """Whether sizes and sketches, which bound the intersection from above, leave a link possible.
 
     Each bit that one sketch alone has set stands for a shingle at least that one set alone has.
+    The sum is a higher-order function, which keeps a join under this condition out of
+    whole-stage code: written out, it and the intersections beside it made one method of
+    over 8,000 bytes, which the JVM does not compile.
     """
     nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
-    common = sum((F.bit_count(F.get(f"{x}.bits", F.lit(i)).bitwiseAND(F.get(f"{y}.bits", F.lit(i)))) for i in range(1, SKETCH)), F.bit_count(F.get(f"{x}.bits", F.lit(0)).bitwiseAND(F.get(f"{y}.bits", F.lit(0)))))
+    common = F.expr(f"aggregate(zip_with({x}.bits, {y}.bits, (p, q) -> bit_count(p & q)), 0, (s, b) -> s + b)")
     most = common + F.least(nx - F.col(f"{x}.ones"), ny - F.col(f"{y}.ones"))
     return _enough(x, y, F.least(nx, ny), num) & _enough(x, y, most, num)
 
@@ -146,8 +149,8 @@ def _known(docs: DataFrame, ids: DataFrame) -> DataFrame:
     # an inner join: a semi join would be moved below the filter
     found = prefilter(lines(docs).select(F.xxhash64("line").alias("id"), "line"), "id", ids).join(ids, "id")
     found = checkpoint(found.groupBy("id").agg(F.first("line").alias("line")).select(unplaced("id"), "line"))
-    bit = "shiftleft(1L, cast(shiftrightunsigned(x, 8) & 63 as int))"
-    bits = _exploded(found).groupBy("id").agg(*[F.bit_or(F.expr(f"if((x & {SKETCH - 1}) = {w}, {bit}, 0L)")).alias(f"b{w}") for w in range(SKETCH)])
+    words = _exploded(found).groupBy("id", F.expr(f"x & {SKETCH - 1}L").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(x, 8) & 63 as int))")).alias("b"))
+    bits = words.groupBy("id").agg(*[F.bit_or(F.expr(f"if(w = {w}, b, 0L)")).alias(f"b{w}") for w in range(SKETCH)])
     ones = sum((F.bit_count(f"b{w}") for w in range(1, SKETCH)), F.bit_count("b0"))
     bits = bits.select("id", F.array(*[f"b{w}" for w in range(SKETCH)]).alias("bits"), ones.alias("ones"))
     out = checkpoint(found.select("id", "line", F.size(F.array_distinct(grams("line"))).alias("n")).join(bits, "id"))
@@ -174,10 +177,10 @@ def _components(each: DataFrame, docs: DataFrame, num: int) -> DataFrame | None:
     known = _known(docs, buckets.select("id").distinct())
 
     def traits(ids: DataFrame) -> DataFrame:
-        low = F.transform(F.array_distinct(grams("line")), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int"))
-        t = known.join(ids, "id", "left_semi").withColumn("g", F.when(F.col("n") <= CARRIED, low))
+        low = F.transform(grams("line"), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int"))
+        t = known.join(ids, "id", "left_semi").withColumn("g", F.when(F.col("n") <= CARRIED, F.array_distinct(low))).drop("line")
         # halves of hashes that are equal would count as one
-        return checkpoint(t.withColumn("g", F.when(F.size(F.array_distinct("g")) == F.col("n"), F.col("g"))))
+        return checkpoint(t.withColumn("g", F.when(F.size("g") == F.col("n"), F.col("g"))))
 
     def close(x: str, y: str) -> tuple[Column, Column]:
         both = F.size(F.array_intersect(f"{x}.g", f"{y}.g"))

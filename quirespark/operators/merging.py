@@ -1,7 +1,8 @@
 """Merging of small chapters: scores of neighbours, folds and plans.
 
-Folds run inside one book, over an ordered array of its chapters' sizes: the
-sequential state stays in Catalyst, and books are folded in parallel.
+Folds run inside one book, over its chapters' sizes in order: as arrays in
+Catalyst, or as streams of rows where a book may have very many. Books are folded
+in parallel.
 """
 
 from __future__ import annotations
@@ -11,16 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.folds import cut_at, group_starts
+from ..functions.folds import bind, cut_at, group_starts, ordered, packed
 from ..functions.text import chapter_number, is_subsection_title, strip
 
 SMALL, TARGET_LOW, TARGET_HIGH, TOO_LARGE = 2000, 3000, 15000, 25000
 
 
-def merge_candidates(chapters: DataFrame) -> DataFrame:
-    """Neighbours that may be merged, with a score and its reasons."""
+def merge_candidates(chapters: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Neighbours that may be merged, with a score and its reasons, and the columns ``keep`` of the first one."""
     w = Window.partitionBy("book_id").orderBy("chapter_number")
-    t = chapters.select("book_id", "chapter_number", "word_count", "title", F.lead("word_count").over(w).alias("next_words"), F.lead("title").over(w).alias("next_title"))
+    t = chapters.select("book_id", "chapter_number", "word_count", "title", *keep, F.lead("word_count").over(w).alias("next_words"), F.lead("title").over(w).alias("next_title"))
     t = t.filter("next_words IS NOT NULL").withColumn("combined", F.col("word_count") + F.col("next_words")).filter(F.col("combined") <= TOO_LARGE)
     a, b = chapter_number(F.col("title")), chapter_number(F.col("next_title"))
     gap = F.coalesce((a > 0) & (b > 0) & (b != a + 1), F.lit(False))
@@ -36,7 +37,7 @@ def merge_candidates(chapters: DataFrame) -> DataFrame:
         score = score + F.when(cond, value).otherwise(0.0)
     reasons = F.array_join(F.array_compact(F.array(*[F.when(c, r) for c, _, r in rules])), ";")
     t = t.withColumn("score", F.round(F.least(F.lit(1.0), score), 6)).withColumn("reasons", reasons)
-    return t.filter("reasons <> ''").select("book_id", "chapter_number", "combined", "score", "reasons")
+    return t.filter("reasons <> ''").select("book_id", "chapter_number", "combined", "score", "reasons", *keep)
 
 
 def top_candidates(candidates: DataFrame, k: int = 5) -> DataFrame:
@@ -52,7 +53,7 @@ def sizes_of(chapters: DataFrame) -> DataFrame:
 
 def _fold(items: Column, takes: Callable[[Column, Column], Column]) -> Column:
     """Left fold into groups of (first, last, words); ``takes(words, w)``: a group takes the next chapter."""
-    groups = cut_at(items, group_starts(F.transform(items, lambda x: x["w"]), takes))
+    groups = bind(items, lambda all_: cut_at(all_, group_starts(F.transform(all_, lambda x: x["w"]), takes)))
     return F.transform(groups, lambda g: F.struct(g[0]["n"].alias("first"), F.element_at(g, -1)["n"].alias("last"), F.aggregate(g, F.lit(0).cast("long"), lambda s, x: s + x["w"]).alias("words")))
 
 
@@ -72,9 +73,8 @@ def merge_small(chapters: DataFrame, low: int = 3000, high: int = 15000) -> Data
 
 def pack(chapters: DataFrame, limit: int) -> DataFrame:
     """Greedy packing of chapters in order: a pack takes the next while it fits."""
-    folded = sizes_of(chapters).select("book_id", _fold(F.col("chapters"), lambda held, w: held + w <= limit).alias("p"))
-    out = folded.select("book_id", F.posexplode("p").alias("i", "c"))
-    return out.select("book_id", (F.col("i") + 1).alias("pack"), F.col("c.first").alias("first_chapter"), F.col("c.last").alias("last_chapter"), F.col("c.words").alias("word_count"))
+    p = packed(chapters, "book_id", "chapter_number", "word_count", lambda held, w: held + w <= limit)
+    return p.groupBy("book_id", "pack").agg(F.min("chapter_number").alias("first_chapter"), F.max("chapter_number").alias("last_chapter"), F.sum("word_count").alias("word_count"))
 
 
 def merge_plan(chapters: DataFrame, smallest: int = 3000) -> DataFrame:
@@ -101,7 +101,7 @@ def auto_merge(chapters: DataFrame, target: int = 8000, least: float = 0.2) -> D
 
     (book_id, chapter_number, first_chapter, last_chapter, title, word_count). The
     scores change with every merge, so a book is worked through in one Python
-    group: a row for each chapter, without contents.
+    group: a row for each chapter, without contents, and a heap of the pairs.
     """
     import pandas as pd
 
@@ -112,6 +112,7 @@ def auto_merge(chapters: DataFrame, target: int = 8000, least: float = 0.2) -> D
     schema = schema.add("chapter_number", "integer").add("first_chapter", "integer").add("last_chapter", "integer").add("title", "string").add("word_count", "long")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        import heapq
         import re
 
         subsection = re.compile(SUBSECTION)
@@ -131,17 +132,32 @@ def auto_merge(chapters: DataFrame, target: int = 8000, least: float = 0.2) -> D
             s = 0.3 * (a[3] < small) + 0.3 * (b[3] < small) + 0.25 * bool(subsection.match(b[2].strip())) + 0.2 * bool(x and y and y != x + 1) + 0.1 * (low <= both <= high)
             return min(1.0, s)
 
-        total = sum(c[3] for c in all_)  # merges don't change it
-        scores = [round(score(a, b), 9) for a, b in zip(all_, all_[1:])]
-        while len(all_) > 1 and total / len(all_) < target:
-            i = max(range(len(scores)), key=lambda k: (scores[k], -k))
-            if scores[i] < least:
+        total, left = sum(c[3] for c in all_), len(all_)  # merges don't change the total
+        after, before = list(range(1, left)) + [None], [None] + list(range(left - 1))
+        version = [0] * left
+        # the best pair, and of those as good the first; what a merge has outdated is passed over
+        heap = [(-round(score(a, b), 9), i, 0, 0) for i, (a, b) in enumerate(zip(all_, all_[1:]))]
+        heapq.heapify(heap)
+        while left > 1 and total / left < target:
+            best, i, u, v = heapq.heappop(heap)
+            j = after[i] if all_[i] is not None else None
+            if j is None or (version[i], version[j]) != (u, v):
+                continue
+            if -best < least:
                 break
-            a, b = all_[i], all_[i + 1]
+            a, b = all_[i], all_[j]
             title = a[2] if number(a[2]) or not subsection.match(a[2].strip()) else f"{a[2]} + {b[2]}"
-            all_[i : i + 2] = [[a[0], b[1], title, a[3] + b[3]]]
+            all_[i], all_[j] = [a[0], b[1], title, a[3] + b[3]], None
+            version[i] += 1
+            left -= 1
+            after[i] = after[j]
+            if after[j] is not None:
+                before[after[j]] = i
             # only the scores with the neighbours are others now
-            scores[max(0, i - 1) : i + 2] = [round(score(all_[k], all_[k + 1]), 9) for k in range(max(0, i - 1), min(i + 1, len(all_) - 1))]
+            for x, y in ((before[i], i), (i, after[i])):
+                if x is not None and y is not None:
+                    heapq.heappush(heap, (-round(score(all_[x], all_[y]), 9), x, version[x], version[y]))
+        all_ = [c for c in all_ if c is not None]
         rows = [(book, k + 1, *c) for k, c in enumerate(all_)]
         return pd.DataFrame(rows, columns=["book_id", "chapter_number", "first_chapter", "last_chapter", "title", "word_count"])
 
@@ -162,22 +178,33 @@ def chosen_merges(chapters: DataFrame, most: int | None = None, least: float = L
     """
     order = Window.partitionBy("book_id").orderBy("chapter_number")
     t = chapters.select("book_id", "chapter_number", "title", "word_count").withColumn("at", F.row_number().over(order) - 1)
-    c = merge_candidates(t).filter(F.col("score") >= least).join(t.select("book_id", "chapter_number", "at"), ["book_id", "chapter_number"])
-    sizes = t.groupBy("book_id").agg(F.count("*").alias("n"), F.avg("word_count").alias("mean"))
-    one = F.struct((-F.col("score")).alias("k"), "at")
-    b = c.groupBy("book_id").agg(F.array_sort(F.collect_list(one)).alias("c")).join(sizes, "book_id")
+    book = Window.partitionBy("book_id")
+    t = t.withColumn("n", F.count("*").over(book)).withColumn("mean", F.avg("word_count").over(book))
+    c = merge_candidates(t, ("at", "n", "mean")).filter(F.col("score") >= least)
     if most is None:
         needed = ((IDEAL_WORDS - F.col("mean")) / WORDS_A_MERGE * F.col("n") / 2).cast("int")
-        looked = F.when(F.col("mean") < IDEAL_WORDS, F.greatest(F.lit(1), F.least(needed, F.size("c")))).otherwise(F.size("c"))
+        looked = F.when(F.col("mean") < IDEAL_WORDS, F.greatest(F.lit(1), needed)).otherwise((1 << 31) - 1)
     else:
         looked = F.lit(most)
-    empty = F.array().cast("array<int>")
-
-    def step(acc: Column, x: Column) -> Column:
-        return F.when(F.exists(acc, lambda a: F.abs(a - x["at"]) <= 1), acc).otherwise(F.concat(acc, F.array(x["at"])))
-
-    taken = F.aggregate(F.slice("c", 1, looked), empty, step)
-    return b.select("book_id", F.explode(taken).alias("first")).withColumn("second", F.col("first") + 1)
+    c = c.select("book_id", "at", (-F.col("score")).alias("k"), looked.cast("int").alias("looked"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        first, book, seen, taken = True, None, 0, set()
+        for b in batches:
+            keep = []
+            for i, (g, at, most_) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True)):
+                if first or g != book:
+                    first, book, seen, taken = False, g, 0, set()
+                seen += 1
+                if seen <= most_ and at not in taken and at - 1 not in taken and at + 1 not in taken:
+                    taken.add(at)
+                    keep.append(i)
+            yield b.take(pa.array(keep, pa.int32())).select([0, 1])
+
+    pairs = ordered(c, "book_id", "k", "at").mapInArrow(run, c.select("book_id", "at").schema)
+    return pairs.select("book_id", F.col("at").alias("first"), (F.col("at") + 1).alias("second"))
 
 
 def merged_title(first: Column, second: Column) -> Column:

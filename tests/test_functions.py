@@ -117,3 +117,18 @@ def test_auto_merge(spark):
     assert [(r.first_chapter, r.last_chapter, r.word_count) for r in got] == [(1, 2, 1100), (3, 3, 4000), (4, 4, 400), (5, 5, 30000)]
     got = merging.auto_merge(c, 20000).orderBy("chapter_number").collect()
     assert [(r.first_chapter, r.last_chapter, r.word_count, r.title) for r in got] == [(1, 4, 5500, "Chapter 1: Intro"), (5, 5, 30000, "Chapter 4: Long")]
+
+
+def test_one_decimal_is_rounded_as_by_printf(spark):
+    given = [9.25, 1.25, 0.75, 6.25, 1.15, 1.05, 0.35, 0.45, 2.5, 0.0, 99.95, 99.96, -0.25, -0.04, -7.35, 100.0, 37 * 100.0 / 2960] + [k / 20 for k in range(400)]
+    df = spark.createDataFrame([(x,) for x in given], "x double")
+    assert [r[0] for r in df.select(t.one_decimal(F.col("x"))).collect()] == [f"{x:.1f}" for x in given]
+
+
+def test_titles_within_words_and_without_words(spark):
+    """A title may begin and end within words of a line, or hold none."""
+    lines = [(1, 0, "Of all"), (1, 1, "Breathe fresh airs"), (1, 2, "the fresh air"), (1, 3, "a --- b"), (1, 4, "mind the gap")]
+    df = spark.createDataFrame(lines, "book_id int, line_index int, line string")
+    c = spark.createDataFrame([(1, 1, "The fresh air"), (1, 2, "---"), (1, 3, "resh"), (1, 4, "The Gap"), (1, 5, "nowhere at all"), (1, 6, None), (1, 7, "E fresh")], "book_id int, chapter_number int, title string")
+    got = {r.chapter_number: r.line_index for r in semantic.title_lines(c, df).collect()}
+    assert got == {1: 1, 2: 3, 3: 1, 4: 4, 5: 0, 6: 0, 7: 1}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.folds import cut_at, greedy, group_starts
+from ..functions.folds import bind, cut_at, greedy, group_starts
 from ..functions.text import estimate_tokens, sentences, strip, words
 
 #: Separators of the recursive splitter with their kinds, coarse to fine; fixed values.
@@ -65,28 +65,46 @@ def fixed_slices(chapters: DataFrame, size: int = 2500, text: str = "text") -> D
 
 def balanced_slices(w: Column, limit: int | Column) -> Column:
     """Slices of nearly equal size of an array of words, none above ``limit``."""
-    n = F.size(w)
-    parts = F.floor((n + limit - 1) / limit)
-    size = F.floor((n + parts - 1) / parts).cast("int")
-    return F.when(n <= limit, F.array(w)).otherwise(F.transform(F.sequence(F.lit(0), n - 1, size), lambda at: F.slice(w, at + 1, size)))
+
+    def slices(w: Column) -> Column:
+        n = F.size(w)
+        parts = F.floor((n + limit - 1) / limit)
+        size = F.floor((n + parts - 1) / parts).cast("int")
+        return F.when(n <= limit, F.array(w)).otherwise(F.transform(F.sequence(F.lit(0), n - 1, size), lambda at: F.slice(w, at + 1, size)))
+
+    return bind(w, slices)
 
 
 def _pack(items: Column, weight: Callable[[Column], Column], limit: int | Column, joiner: str) -> Column:
-    """Greedy packs of strings in order, as structs of text and weight."""
-    return F.transform(greedy(items, weight, limit), lambda g: F.struct(F.array_join(g, joiner).alias("t"), F.aggregate(g, F.lit(0), lambda n, x: n + weight(x).cast("int")).alias("n")))
+    """Greedy packs of strings in order, as structs of text and weight; each string is weighed once."""
+    return _join(F.transform(items, lambda x: F.struct(x.alias("t"), weight(x).cast("int").alias("n"))), limit, joiner)
+
 
+def _join(weighed: Column, limit: int | Column, joiner: str) -> Column:
+    """``_pack`` of structs of text t and weight n."""
+    return F.transform(greedy(weighed, lambda x: x["n"], limit), lambda g: F.struct(F.array_join(F.transform(g, lambda x: x["t"]), joiner).alias("t"), F.aggregate(g, F.lit(0), lambda n, x: n + x["n"]).alias("n")))
 
-def resplit(chapters: DataFrame, limit: int | Column, text: str = "text") -> DataFrame:
+
+def resplit(chapters: DataFrame, limit: int | Column, text: str = "text", count: Column | None = None) -> DataFrame:
     """Chapters above ``limit`` words, split at blank lines and packed again.
 
     A paragraph above the limit is cut into balanced slices; part k > 1 of a
-    title ends in "(part k)".
+    title ends in "(part k)". ``count`` is the number of the text's words, where it is known.
     """
+    count = F.size(words(F.col(text))) if count is None else count
     paragraphs = F.filter(F.transform(F.split(text, r"\n(?U:\s)*\n"), strip), lambda p: p != "")
-    bounded = F.flatten(F.transform(paragraphs, lambda p: F.when(F.size(words(p)) <= limit, F.array(p)).otherwise(F.transform(balanced_slices(words(p), limit), lambda s: F.array_join(s, " ")))))
-    t = chapters.withColumn("__p", bounded).withColumn("__packs", _pack(F.col("__p"), lambda p: F.size(words(p)), limit, "\n\n"))
-    whole = F.array(F.struct(F.col(text).alias("t"), F.size(words(F.col(text))).alias("n")))
-    t = t.select(*[c for c in chapters.columns if c not in (text, "word_count")], F.posexplode(F.when(F.size(words(F.col(text))) <= limit, whole).otherwise(F.col("__packs"))).alias("i", "x"))
+
+    def weighed(p: Column) -> Column:
+        def of(w: Column) -> Column:
+            slices = F.transform(balanced_slices(w, limit), lambda s: F.struct(F.array_join(s, " ").alias("t"), F.size(s).alias("n")))
+            return F.when(F.size(w) <= limit, F.array(F.struct(p.alias("t"), F.size(w).alias("n")))).otherwise(slices)
+
+        return bind(words(p), of)
+
+    packs = _join(F.flatten(F.transform(paragraphs, weighed)), limit, "\n\n")
+    t = chapters.withColumn("__n", count)
+    whole = F.array(F.struct(F.col(text).alias("t"), F.col("__n").alias("n")))
+    t = t.select(*[c for c in chapters.columns if c not in (text, "word_count")], F.posexplode(F.when(F.col("__n") <= limit, whole).otherwise(packs)).alias("i", "x"))
     title = F.when(F.col("i") == 0, F.col("title")).otherwise(F.concat("title", F.lit(" (part "), F.col("i") + 1, F.lit(")")))
     return t.select(*[c for c in t.columns if c not in ("i", "x", "title")], title.alias("title"), (F.col("i") + 1).alias("part"), F.col("x.n").alias("word_count"), F.col("x.t").alias("content"))
 
@@ -102,11 +120,12 @@ def quality_resplit(chapters: DataFrame, text: str = "content", fewest: int = FE
     and a book stays where it is throughout.
     """
     book = Window.partitionBy("book_id")
-    t = chapters.select("book_id", F.array(F.col("chapter_number").cast("int")).alias("path"), "title", F.col(text).alias("content"), F.size(words(F.coalesce(text, F.lit("")))).alias("word_count"))
+    t = chapters.select("book_id", F.array(F.col("chapter_number").cast("int")).alias("path"), "title", F.col(text).alias("content"), F.size(words(F.col(text))).alias("word_count")).filter("content IS NOT NULL")
 
     def split(t: DataFrame, where: Column, limit: Column | int) -> DataFrame:
         bound = F.when(where, F.lit(limit) if isinstance(limit, int) else limit).otherwise(F.lit((1 << 31) - 2)).cast("int")
-        parts = resplit(t.withColumn("__limit", bound), F.col("__limit"), "content")
+        # a chapter's words are known from where it was made
+        parts = resplit(t.withColumn("__limit", bound).withColumn("__known", F.col("word_count")), F.col("__limit"), "content", F.col("__known"))
         return parts.select("book_id", F.concat("path", F.array("part")).alias("path"), "title", "content", "word_count")
 
     for _ in range(3):
@@ -179,7 +198,7 @@ def section_headers(chapters: DataFrame, keys: list[str], text: str = "text", pa
     numbered = F.col("__s").rlike(r"(?U)^\d+\.\d+").cast("int")
     near = F.coalesce(F.sum(numbered).over(order.rowsBetween(-3, 3)), F.lit(0)) - numbered
     form = F.lit(False)
-    for p in (*patterns, *HEADERS):
+    for p in (*patterns, "|".join(f"(?:{h})" for h in HEADERS)):
         form = form | F.col("__s").rlike(f"(?iU)^(?:{p})$")
     blank_before = F.coalesce(F.lag("__s").over(order), F.lit("")) == ""
     header = F.length("__s").between(3, 80) & form & ((F.col("line_index") <= 5) | blank_before) & (near < 2)
@@ -216,8 +235,9 @@ def sections(chapters: DataFrame, keys: list[str], limit: int = MAX_TOKENS, patt
     small = c.filter(~needs_splitting(F.col("text"), limit)).select(*keys, F.col("title").alias("parent_title"), F.lit(0).alias("at"), "title", F.col("text").alias("content"), F.lit(True).alias("whole"))
     large = c.filter(needs_splitting(F.col("text"), limit))
     headed = section_contents(section_headers(large, keys, "text", patterns), keys)
-    several = headed.groupBy(*keys).agg(F.count("*").alias("__n")).filter("__n > 1").drop("__n")
-    by_header = headed.join(several, keys).join(large.select(*keys, F.col("title").alias("parent_title")), keys)
+    headed = headed.withColumn("__n", F.count("*").over(Window.partitionBy(*keys))).filter("__n > 1").drop("__n")
+    several = headed.select(*keys).distinct()
+    by_header = headed.join(large.select(*keys, F.col("title").alias("parent_title")), keys)
     by_header = by_header.select(*keys, "parent_title", "at", "title", "content", (~needs_splitting(F.col("content"), limit)).alias("whole"))
     rest = large.join(several, keys, "left_anti").select(*keys, F.col("title").alias("parent_title"), F.lit(0).alias("at"), "title", F.col("text").alias("content"), F.lit(False).alias("whole"))
     each = small.unionByName(by_header).unionByName(rest)
@@ -228,7 +248,7 @@ def sections(chapters: DataFrame, keys: list[str], limit: int = MAX_TOKENS, patt
     return t.select(*keys, "parent_title", "section_number", title.alias("title"), "content", estimate_tokens(F.col("content")).alias("token_count"), F.size(words(F.col("content"))).alias("word_count"), (~F.col("whole")).alias("is_partial"))
 
 
-_PIECE = "array<struct<t:string,kind:string>>"
+_PIECE = "array<struct<t:string,kind:string,n:int>>"
 #: The mark that cuts pieces apart and its escape; both are escaped in the text.
 _MARK, _ESCAPE = "\x01", "\x02"
 
@@ -242,26 +262,29 @@ def _unescaped(text: Column) -> Column:
 
 
 def pieces(text: Column, limit: int, separators: tuple[tuple[str, str], ...] = SEPARATORS, length: Callable[[Column], Column] | None = None) -> Column:
-    """array<struct<t, kind>> of the pieces of at most ``limit`` words, in order; their texts make up ``text``.
+    """array<struct<t, kind, n>> of the pieces of at most ``limit`` words, in order; their texts make up ``text``.
 
     By the coarsest separator that divides, one level for each, unrolled: a piece
     that is too large goes on to the next. A separator stays with the piece
     after it. ``kind`` is that of the last separator but "word" that cut the piece
-    out, "word" if there is none. ``length`` measures a piece instead of words.
+    out, "word" if there is none. ``length`` measures a piece instead of words; n is what it gives.
     """
     size = length or (lambda p: F.size(words(p)))
-    out = F.array(F.struct(_escaped(text).alias("t"), F.lit("word").alias("kind"))).cast(_PIECE)
+    out = bind(_escaped(text), lambda t: F.array(F.struct(t.alias("t"), F.lit("word").alias("kind"), size(t).alias("n"))).cast(_PIECE))
     for regex, kind in separators:
 
         def level(p: Column) -> Column:  # called before the loop goes on
             pattern, separator = regex, kind
             parts = F.filter(F.split(F.regexp_replace(p["t"], f"(?U)({pattern})", f"{_MARK}$1"), _MARK), lambda x: x != "")
             of = p["kind"] if separator == "word" else F.lit(separator)
-            cut = F.transform(parts, lambda x: F.struct(x.alias("t"), of.alias("kind")))
-            return F.when((size(p["t"]) <= limit) | (F.size(parts) < 2), F.array(p)).otherwise(cut).cast(_PIECE)
+
+            def cut(found: Column) -> Column:
+                return F.when(F.size(found) < 2, F.array(p).cast(_PIECE)).otherwise(F.transform(found, lambda x: F.struct(x.alias("t"), of.alias("kind"), size(x).alias("n"))).cast(_PIECE))
+
+            return F.when(p["n"] <= limit, F.array(p).cast(_PIECE)).otherwise(bind(parts, cut))
 
         out = F.flatten(F.transform(out, level))
-    return F.transform(out, lambda p: F.struct(_unescaped(p["t"]).alias("t"), p["kind"].alias("kind")))
+    return F.transform(out, lambda p: F.struct(_unescaped(p["t"]).alias("t"), p["kind"].alias("kind"), p["n"].alias("n")))
 
 
 def recursive_split(
@@ -283,14 +306,14 @@ def recursive_split(
     t = chapters.select(*keys, F.posexplode(pieces(F.coalesce(text, F.lit("")), limit, separators)).alias("__i", "__x"))
     order = Window.partitionBy(*keys).orderBy("__i")
     t = t.withColumn("__end", F.sum(F.length("__x.t")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    t = t.filter(F.size(words(F.col("__x.t"))) > 0).select(*keys, "__i", F.col("__x.t").alias("t"), F.col("__x.kind").alias("kind"), (F.col("__end") - F.length("__x.t")).alias("b"), F.col("__end").alias("e"))
+    t = t.filter(F.col("__x.n") > 0).select(*keys, "__i", F.col("__x.t").alias("t"), F.col("__x.kind").alias("kind"), (F.col("__end") - F.length("__x.t")).alias("b"), F.col("__end").alias("e"), F.col("__x.n").alias("n"))
     if overlap:
-        before = words(F.lag("t").over(order))
-        tail = F.array_join(F.when(F.size(before) > overlap, F.slice(before, -overlap, overlap)).otherwise(before), " ")
-        grown = F.when(F.lag("t").over(order).isNotNull(), F.concat(tail, F.lit(" "), "t")).otherwise(F.col("t"))
-        start = F.when(F.lag("t").over(order).isNotNull(), F.greatest(F.lit(0), F.col("b") - F.length(tail) - 1)).otherwise(F.col("b"))
-        t = t.select(*keys, "__i", grown.alias("t"), "kind", start.alias("b"), "e")
-    t = t.withColumn("n", F.size(words(F.col("t"))))
+        tail = bind(words(F.col("t")), lambda w: F.array_join(F.when(F.size(w) > overlap, F.slice(w, -overlap, overlap)).otherwise(w), " "))
+        t = t.withColumn("__tail", tail)
+        t = t.withColumn("__before", F.lag("__tail").over(order)).withColumn("__more", F.lag(F.least("n", F.lit(overlap))).over(order))
+        grown = F.when(F.col("__before").isNotNull(), F.concat("__before", F.lit(" "), "t")).otherwise(F.col("t"))
+        start = F.when(F.col("__before").isNotNull(), F.greatest(F.lit(0), F.col("b") - F.length("__before") - 1)).otherwise(F.col("b"))
+        t = t.select(*keys, "__i", grown.alias("t"), "kind", start.alias("b"), "e", (F.col("n") + F.coalesce("__more", F.lit(0))).alias("n"))
     one = F.struct("__i", "t", "kind", "b", "e", "n")
     g = t.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("c"))
     g = g.withColumn("__starts", group_starts(F.transform("c", lambda x: x["n"]), lambda held, x: held < least))

@@ -6,7 +6,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from quirespark.functions import lines as ln
-from quirespark.operators import detection, merging, semantic
+from quirespark.operators import detection, merging, semantic, splitting
 
 
 @contextmanager
@@ -73,3 +73,19 @@ def test_chapters_across_blocks_and_slices_by_lines(spark):
     assert c.content == "\n".join(["w"] * (2 * ln.BLOCK + 9))
     s = detection.slices_of_lines(spark.createDataFrame([("b", 0, "a b c"), ("b", 1, " "), ("b", 2, "d e f g h i")], "book_id string, line_index int, line string"), 4)
     assert sorted((r.section_number, r.content, r.word_count) for r in s.collect()) == [(1, "a b c d", 4), (2, "e f g h", 4), (3, "i", 1)]
+
+
+def test_packs_of_a_text_with_many_sentences(spark):
+    """Each pack is cut once, not found anew by a fold for every pack."""
+    n = 12_000
+    df = spark.createDataFrame([(1, "One two three four. " * n)], "doc_id int, text string")
+    with within(60):
+        rows = splitting.sentence_packs(df, 4).select("pack", "content").collect()
+    assert len(rows) == n and {r.content for r in rows} == {"One two three four."}
+
+
+def test_words_of_chunks_are_counted_right(spark):
+    """The count of a chunk is that of its words, taken from the piece before or its own."""
+    df = spark.createDataFrame([(1, "\n".join(" ".join(["w"] * k) for k in (3, 40, 7, 90, 1, 12, 60)))], "doc_id int, text string")
+    rows = splitting.recursive_split(df, 30, 5, 10).collect()
+    assert len(rows) > 5 and all(r.chunk_words == len(r.chunk.split()) for r in rows)

@@ -59,6 +59,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 
 def process(books: DataFrame, options: Options = Options()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(books, chapters, sections) of books as ``read_files`` gives them."""
+    t.bound_batches(books.sparkSession)
     text = t.clean_llm(F.col("text")) if options.clean else F.col("text")
     described = metadata.extract(books).withColumn("text", text)
     found = detection.detect_chapters(described.select("book_id", "text"), options.min_chapter_words, options.max_chapter_words)

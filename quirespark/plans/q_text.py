@@ -17,6 +17,7 @@ TITLES = "(SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'Chapter ' || doc_id || ':
 
 
 def _noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t.bound_batches(spark)
     return read(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit(NOISE)).alias("s"))
 
 

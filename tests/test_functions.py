@@ -132,3 +132,17 @@ def test_titles_within_words_and_without_words(spark):
     c = spark.createDataFrame([(1, 1, "The fresh air"), (1, 2, "---"), (1, 3, "resh"), (1, 4, "The Gap"), (1, 5, "nowhere at all"), (1, 6, None), (1, 7, "E fresh")], "book_id int, chapter_number int, title string")
     got = {r.chapter_number: r.line_index for r in semantic.title_lines(c, df).collect()}
     assert got == {1: 1, 2: 3, 3: 1, 4: 4, 5: 0, 6: 0, 7: 1}
+
+
+def test_composition_in_small_slices(spark, monkeypatch):
+    """Texts go to the worker in bounded batches and through it in slices; nulls and empty texts stay."""
+    monkeypatch.setattr(t, "NFKC_BYTES", 8)
+    texts = ["ﬁ" * 10, None, "", "①", "plain", "ﬁ"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string").coalesce(1)
+    assert [r[0] for r in df.orderBy("i").select(t.nfkc(F.col("s"))).collect()] == ["fi" * 10, None, "", "1", "plain", "fi"]
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        t.bound_batches(spark)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= t.BATCH_BYTES
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
